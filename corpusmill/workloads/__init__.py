@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from corpusmill.workloads import vectors
+from corpusmill.workloads import catalog, vectors
 
-MODULES = (vectors,)
+MODULES = (vectors, catalog)
 
 
 def all_queries() -> dict:
