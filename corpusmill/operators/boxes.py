@@ -68,8 +68,8 @@ def best_detection(
 
     The largest box of at most half the image, else the best score; an unknown
     image size leaves the score to decide; ties go to the first detection.
-    One aggregation picks it. With ``items``, items without a detection are
-    kept with a null box.
+    One aggregation picks it. With ``items``, all their columns are kept and
+    items without a detection get a null box.
     """
     area = F.col("width") * F.col("height")
     fits = F.coalesce((area > 0) & (box_area() / area <= max_ratio), F.lit(False))
@@ -80,7 +80,7 @@ def best_detection(
     )
     best = clipped.groupBy(*keys).agg(F.max_by(F.struct("bbox", "score"), place).alias("_d"))
     best = best.select(*keys, "_d.bbox", "_d.score")
-    return best if items is None else items.select(*keys).join(best, list(keys), "left")
+    return best if items is None else items.join(best, list(keys), "left")
 
 
 # -- B3 - B6 -------------------------------------------------------------------

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from corpusmill.workloads import catalog, vectors
+from corpusmill.workloads import calibration, catalog, vectors, verdict
 
-MODULES = (vectors, catalog)
+MODULES = (vectors, catalog, verdict, calibration)
 
 
 def all_queries() -> dict:
