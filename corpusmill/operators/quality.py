@@ -8,6 +8,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from corpusmill.functions.constants import BBOX_PCT_NORMALIZER, QUALITY_WEIGHTS, SHARPNESS_NORMALIZER
 
@@ -40,7 +41,7 @@ def crop_variance(data: bytes, width: int, height: int, channels: int, box: Sequ
     return laplacian_variance(gray)
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def _sharpness(images: pd.DataFrame, boxes: pd.DataFrame) -> pd.Series:
     out = []
     for i in range(len(images)):

@@ -2,9 +2,19 @@
 
 from __future__ import annotations
 
-from corpusmill.workloads import calibration, catalog, vectors, verdict
+from corpusmill.workloads import (
+    boxes,
+    calibration,
+    catalog,
+    evaluation,
+    splits,
+    streams,
+    trainset,
+    vectors,
+    verdict,
+)
 
-MODULES = (vectors, catalog, verdict, calibration)
+MODULES = (vectors, catalog, boxes, verdict, calibration, splits, trainset, evaluation, streams)
 
 
 def all_queries() -> dict:

@@ -56,12 +56,12 @@ def verdict_reason_counts(spark, sf_dir):
 
 def _document_verdicts(spark, sf_dir):
     """Documents by source and language; short ones are removed."""
+    turn = F.floor(F.col("doc_id") / 20) % 10
     return table(spark, sf_dir, "documents").select(
         F.concat_ws("_", "source", "lang").alias("label"),
         F.col("doc_id").alias("item_id"),
-        F.when(F.col("doc_id") % 10 < 8, "train")
-        .when(F.col("doc_id") % 10 == 8, "validation").otherwise("test").alias("split"),
-        (F.col("n_chars") < 1200).alias("removed"),
+        F.when(turn < 8, "train").when(turn == 8, "validation").otherwise("test").alias("split"),
+        (F.col("n_chars") < 2000).alias("removed"),
     )
 
 
@@ -153,8 +153,8 @@ ver AS (SELECT label, item_id, score,
 """
 
 DOCUMENTS_SQL = """
-dv AS (SELECT source || '_' || lang AS label, doc_id AS item_id, n_chars < 1200 AS removed, lang,
-              CASE WHEN doc_id % 10 < 8 THEN 'train' WHEN doc_id % 10 = 8 THEN 'validation' ELSE 'test' END AS split
+dv AS (SELECT source || '_' || lang AS label, doc_id AS item_id, n_chars < 2000 AS removed, lang,
+              CASE WHEN doc_id // 20 % 10 < 8 THEN 'train' WHEN doc_id // 20 % 10 = 8 THEN 'validation' ELSE 'test' END AS split
        FROM documents),
 gone AS (SELECT DISTINCT label FROM (SELECT label, split FROM dv GROUP BY ALL HAVING bool_and(removed)))
 """
