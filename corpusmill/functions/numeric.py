@@ -13,6 +13,29 @@ def half_even(value: Column) -> Column:
     return F.rint(value).cast("bigint")
 
 
+def rounded(value: Column, digits: int) -> Column:
+    """Round a plain column or lambda variable by its exact binary value, ties to even.
+
+    69.195 is stored slightly below its text form and gives 69.19, where
+    ``F.round`` rounds the text up. When ``value * 10**digits`` lands on a
+    half, the product's rounding error - exact with the value split into two
+    26-bit halves - tells on which side the true product lies.
+    """
+    scale = float(10**digits)
+    product = value * scale
+    shifted = value * 134217729.0
+    high = shifted - (shifted - value)
+    error = (high * scale - product) + (value - high) * scale
+    below = F.floor(product).cast("double")
+    half = F.when(error > 0, below + 1).when(error < 0, below).otherwise(F.rint(product))
+    return F.when(product - below == 0.5, half).otherwise(F.rint(product)) / scale
+
+
+def round_to(value: Column, digits: int) -> Column:
+    """:func:`rounded` for any expression; the lambda evaluates it once."""
+    return F.transform(F.array(value), lambda x: rounded(x, digits))[0]
+
+
 def ratio(num: Column, den: Column) -> Column:
     """num/den, 0 where the denominator is 0."""
     return F.when(den > 0, num / den).otherwise(F.lit(0.0))

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from corpusmill.functions.constants import ANNOTATED_EXTENSIONS
 from corpusmill.functions.hashing import shuffle_key
-from corpusmill.functions.numeric import half_even
+from corpusmill.functions.numeric import half_even, round_to
 from corpusmill.functions.text import has_extension
 from corpusmill.operators.splits import upsert
 from corpusmill.plans.ranking import top_n
@@ -54,7 +54,7 @@ def clip_boxes(
     tiny = (area > 0) & (F.col("_w") * F.col("_h") / area < min_area_ratio)
     box = F.struct(*[half_even(F.col(f"_{c}")).alias(c) for c in "xywh"])
     return cut.filter((F.col("_w") > 0) & (F.col("_h") > 0) & ~tiny).select(
-        *keys, "det_idx", box.alias("bbox"), F.round("score", 4).alias("score"), "width", "height"
+        *keys, "det_idx", box.alias("bbox"), round_to(F.col("score"), 4).alias("score"), "width", "height"
     )
 
 
@@ -95,7 +95,7 @@ def annotation_rollup(annotations: DataFrame, label: str = "label") -> DataFrame
     return (
         per_label.rollup(label)
         .agg(F.sum("_n").alias("items"), F.sum("_d").alias("detected"))
-        .withColumn("pct", F.when(items > 0, F.round(detected / items * 100, 1)).otherwise(0.0))
+        .withColumn("pct", F.when(items > 0, round_to(detected / items * 100, 1)).otherwise(0.0))
     )
 
 
@@ -279,7 +279,7 @@ def annotation_qa(clipped: DataFrame, expected: DataFrame, keys: Sequence[str] =
         ("mean_score", "mean", F.col("mean") > 0.6),
     )
     rows = F.array(
-        *[F.struct(F.lit(name).alias("rule"), F.round(F.col(c), 4).alias("value"),
+        *[F.struct(F.lit(name).alias("rule"), round_to(F.col(c), 4).alias("value"),
                    F.coalesce(ok, F.lit(False)).alias("passed")) for name, c, ok in rules]
     )
     return whole.select(F.explode(rows).alias("_r")).select("_r.*")

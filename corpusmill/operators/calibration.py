@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from corpusmill.functions.constants import BORDERLINE_CENTER, DEFAULT_THRESHOLD, SWEEP_THRESHOLDS
 from corpusmill.functions.hashing import shuffle_key
-from corpusmill.functions.numeric import f1_score, ratio
+from corpusmill.functions.numeric import f1_score, ratio, round_to
 from corpusmill.plans.ranking import range_rank, top_n
 from corpusmill.plans.sizing import join_small
 
@@ -74,9 +74,9 @@ def confusion_metrics(tp, fp, fn, tn):
     """Columns of the four counts with precision, recall and f1 (4 decimals)."""
     precision, recall = ratio(tp, tp + fp), ratio(tp, tp + fn)
     return {
-        "precision": F.round(precision, 4),
-        "recall": F.round(recall, 4),
-        "f1": F.round(f1_score(precision, recall), 4),
+        "precision": round_to(precision, 4),
+        "recall": round_to(recall, 4),
+        "f1": round_to(f1_score(precision, recall), 4),
     }
 
 
@@ -97,8 +97,8 @@ def filter_metrics(ground_truth: DataFrame) -> DataFrame:
     return counts.withColumns(
         {
             **confusion_metrics(tp, fp, fn, tn),
-            "false_positive_rate": F.round(ratio(fp, fp + tp), 4),
-            "false_negative_rate": F.round(ratio(fn, fn + tn), 4),
+            "false_positive_rate": round_to(ratio(fp, fp + tp), 4),
+            "false_negative_rate": round_to(ratio(fn, fn + tn), 4),
         }
     )
 

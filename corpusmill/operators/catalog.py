@@ -17,7 +17,7 @@ from pyspark.sql import Window as W
 
 from corpusmill.functions import constants as C
 from corpusmill.functions.hashing import shuffle_key
-from corpusmill.functions.numeric import in_box
+from corpusmill.functions.numeric import in_box, round_to
 from corpusmill.functions.text import has_extension, slug, stem
 from corpusmill.plans.lineage import cut
 from corpusmill.plans.ranking import range_rank, top_n

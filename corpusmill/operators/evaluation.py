@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from corpusmill.functions.constants import ARCH_DISPLAY, ARCH_RANK
-from corpusmill.functions.numeric import argmax, f1_score, log_sum_exp, ratio, softmax
+from corpusmill.functions.numeric import argmax, f1_score, log_sum_exp, ratio, round_to, softmax
 from corpusmill.plans.running import running
 from corpusmill.plans.sizing import join_small
 
@@ -111,7 +111,7 @@ def classification_report(preds: DataFrame, label_map: DataFrame | None = None)
         "_r.*", "support"
     )
     return named.select(*columns).unionByName(summary.select(*columns)).withColumns(
-        {c: F.round(c, 4) for c in scores}
+        {c: round_to(F.col(c), 4) for c in scores}
     )
 
 

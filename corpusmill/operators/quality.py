@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from corpusmill.functions.constants import BBOX_PCT_NORMALIZER, QUALITY_WEIGHTS, SHARPNESS_NORMALIZER
+from corpusmill.functions.numeric import round_to
 
 COLUMNS = ("detection_score", "bbox_pct", "sharpness", "composite_score")
 
@@ -84,10 +85,10 @@ def composite_score(df: DataFrame, weights: Mapping[str, float] = QUALITY_WEIGHT
         + F.lit(float(weights["sharpness"])) * F.least(sharp / SHARPNESS_NORMALIZER, F.lit(1.0))
     )
     values = {
-        "detection_score": F.round(detection, 4),
-        "bbox_pct": F.round(pct, 4),
-        "composite_score": F.round(composite, 4),
-        "sharpness": F.round(sharp, 2),
+        "detection_score": round_to(detection, 4),
+        "bbox_pct": round_to(pct, 4),
+        "composite_score": round_to(composite, 4),
+        "sharpness": round_to(sharp, 2),
     }
     return df.withColumns({c: F.when(usable, v).otherwise(0.0) for c, v in values.items()})
 

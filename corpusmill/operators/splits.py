@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from corpusmill.functions.constants import SPLITS
-from corpusmill.functions.numeric import half_even
+from corpusmill.functions.numeric import half_even, round_to
 from corpusmill.plans.ranking import hash_rank
 
 TRAIN, VALIDATION, TEST = SPLITS
@@ -92,7 +92,7 @@ def split_report(items: DataFrame) -> DataFrame:
     whole = W.partitionBy(F.lit(0))
     counts = items.groupBy("split").agg(F.count(F.lit(1)).alias("items"))
     return counts.withColumn(
-        "pct", F.round(F.col("items") * 100 / F.sum("items").over(whole), 0)
+        "pct", round_to(F.col("items") * 100 / F.sum("items").over(whole), 0)
     )
 
 

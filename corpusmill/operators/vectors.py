@@ -20,7 +20,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 from corpusmill.functions import vectors as V
 from corpusmill.functions.constants import CATEGORIES, CORRUPTED
-from corpusmill.functions.numeric import softmax
+from corpusmill.functions.numeric import round_to, rounded, softmax
 from corpusmill.plans.lineage import cut
 from corpusmill.plans.sizing import BROADCAST_BYTES, join_small
 
@@ -177,7 +177,7 @@ def outliers(
     return join_small(narrow, stats, group).select(
         *group,
         item,
-        F.when(enough, F.round("distance", 4)).otherwise(F.lit(0.0)).alias("distance"),
+        F.when(enough, round_to(F.col("distance"), 4)).otherwise(F.lit(0.0)).alias("distance"),
         (enough & (F.col("distance") > F.col("_limit"))).alias("is_outlier"),
     )
 
@@ -222,10 +222,10 @@ def zero_shot(
         .withColumn("_probs", softmax(F.col("_sims")))
         .withColumn("_chosen", chosen)
         .withColumn("category", F.element_at(names, F.col("_chosen") + 1))
-        .withColumn("confidence", F.round(F.element_at(probs, F.col("_chosen") + 1), 4))
+        .withColumn("confidence", round_to(F.element_at(probs, F.col("_chosen") + 1), 4))
         .withColumn(
             "scores",
-            F.map_from_arrays(names, F.transform(probs, lambda p: F.round(p, 4))),
+            F.map_from_arrays(names, F.transform(probs, lambda p: rounded(p, 4))),
         )
         .drop("_sims", "_probs", "_chosen")
     )
@@ -315,9 +315,9 @@ def mislabeled(
     return best.select(
         label,
         item,
-        F.round(names[0], 4).alias(names[0]),
+        round_to(F.col(names[0]), 4).alias(names[0]),
         names[1],
-        F.round(names[2], 4).alias(names[2]),
+        round_to(F.col(names[2]), 4).alias(names[2]),
         (F.col(names[0]) - F.col(names[2]) > F.lit(float(margin))).alias("suspected"),
     )
 
@@ -592,7 +592,7 @@ def resolve_duplicates(
         result = result.unionByName(_greedy_rounds(marked.filter("_large").drop("_large"), group))
     if copies is not None:
         result = result.unionByName(copies.withColumn("similarity", F.lit(1.0)))
-    return result.withColumn("similarity", F.round("similarity", 4))
+    return result.withColumn("similarity", round_to(F.col("similarity"), 4))
 
 
 def near_duplicates(

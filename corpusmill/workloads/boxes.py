@@ -225,6 +225,16 @@ def _best_sql(name: str, ratio: float) -> str:
 """
 
 
+def _exact_round(column: str, digits: int) -> str:
+    """Half-even rounding by the exact binary value, as the score operator does it."""
+    s = f"{10**digits}.0::DOUBLE"
+    high = f"({column} * 134217729 - ({column} * 134217729 - {column}))"
+    error = f"(({high} * {s} - {column} * {s}) + ({column} - {high}) * {s})"
+    p = f"({column} * {s})"
+    return f"""(CASE WHEN {p} - floor({p}) <> 0.5 THEN round_even({p}, 0) WHEN {error} > 0 THEN ceil({p})
+      WHEN {error} < 0 THEN floor({p}) ELSE round_even({p}, 0) END / {s})"""
+
+
 ANN_SQL = f"{IMAGES_SQL}, {_best_sql('ann', 0.05)}"
 RETRY_SQL = f"""{ANN_SQL}, {_best_sql('ann2', 0.001)},
 merged AS (SELECT a.item_id, coalesce(a.x, b.x) AS x, coalesce(a.y, b.y) AS y, coalesce(a.w, b.w) AS w, coalesce(a.h, b.h) AS h,
@@ -295,11 +305,12 @@ ORACLES = {
       UNION ALL SELECT 'mean_score', round(mean, 4), mean > 0.6 FROM q""",
     "small_boxes": f"WITH {ANN_SQL} SELECT item_id FROM ann WHERE x IS NOT NULL AND w * h / (width * height) * 100 < 8",
     "quality_scores": f"""WITH {ANN_SQL},
-      u AS (SELECT *, coalesce(score > 0.1 AND width > 0, false) AS ok, w * h / (width * height) * 100 AS pct FROM ann)
-      SELECT label, name, CASE WHEN ok THEN round(score, 4) ELSE 0 END AS detection_score,
-             CASE WHEN ok THEN round(pct, 4) ELSE 0 END AS bbox_pct, CASE WHEN ok THEN round(sharpness, 2) ELSE 0 END AS sharpness,
-             CASE WHEN ok THEN round(0.3::DOUBLE * least(score, 1) + 0.4::DOUBLE * least(pct / 30, 1) + 0.3::DOUBLE * least(sharpness / 500, 1), 4)
-                  ELSE 0 END AS composite_score FROM u""",
+      u AS (SELECT *, coalesce(score > 0.1 AND width > 0, false) AS ok, w * h / (width * height) * 100 AS pct FROM ann),
+      k AS (SELECT *, 0.3::DOUBLE * least(score, 1) + 0.4::DOUBLE * least(pct / 30, 1) + 0.3::DOUBLE * least(sharpness / 500, 1) AS comp FROM u)
+      SELECT label, name, CASE WHEN ok THEN {_exact_round("score", 4)} ELSE 0 END AS detection_score,
+             CASE WHEN ok THEN {_exact_round("pct", 4)} ELSE 0 END AS bbox_pct,
+             CASE WHEN ok THEN {_exact_round("sharpness", 2)} ELSE 0 END AS sharpness,
+             CASE WHEN ok THEN {_exact_round("comp", 4)} ELSE 0 END AS composite_score FROM k""",
     "coco_images": f"WITH {COCO_SQL} SELECT label, id, name AS file_name, width, height FROM ci",
     "coco_annotations": f"""WITH {COCO_SQL}
       SELECT b.label, row_number() OVER (PARTITION BY b.label ORDER BY ci.id, det_idx) AS id, ci.id AS image_id, 1 AS category_id,

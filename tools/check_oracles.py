@@ -88,8 +88,9 @@ def main() -> int:
               + (f"  types {odd}" if odd else ""), flush=True)
         if not same:
             bad += 1
-            only_a = [r for r in a if r not in set(b)][:3]
-            only_b = [r for r in b if r not in set(a)][:3]
+            set_a, set_b = set(a), set(b)
+            only_a = [r for r in a if r not in set_b][:3]
+            only_b = [r for r in b if r not in set_a][:3]
             print("   spark only", only_a, "\n   sql only  ", only_b, flush=True)
     print("bad:", bad)
     return 1 if bad else 0
