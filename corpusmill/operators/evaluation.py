@@ -285,12 +285,13 @@ def improvements(
     history: DataFrame, value: str = "val_loss", mode: str = "min", run: str = "run", epoch: str = "epoch"
 ) -> DataFrame:
     """Add ``improved`` and ``stale`` (epochs since the last strict improvement)."""
-    earlier = running(history, [run], epoch, {"_best": (mode, F.col(value))}, inclusive=False)
+    steps = running(
+        history, [run], epoch, {"_best": (mode, F.col(value), False), "_seq": ("sum", F.lit(1))}
+    )
     better = F.col(value) < F.col("_best") if mode == "min" else F.col(value) > F.col("_best")
-    flagged = earlier.withColumn("improved", F.coalesce(better, F.lit(True)))
-    counted = running(flagged, [run], epoch, {"_seq": ("sum", F.lit(1))})
+    flagged = steps.withColumn("improved", F.coalesce(better, F.lit(True)))
     last = running(
-        counted, [run], epoch, {"_last": ("max", F.when(F.col("improved"), F.col("_seq")))}
+        flagged, [run], epoch, {"_last": ("max", F.when(F.col("improved"), F.col("_seq")))}
     )
     return last.withColumn("stale", F.col("_seq") - F.col("_last")).drop("_best", "_seq", "_last")
 

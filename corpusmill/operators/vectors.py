@@ -25,7 +25,7 @@ from corpusmill.plans.lineage import cut
 from corpusmill.plans.sizing import BROADCAST_BYTES, join_small
 
 PARTIAL_GROUPS = 2048
-TILE = 2048
+TILE = 4096
 LOCAL_PAIRS = 200_000
 
 
