@@ -155,7 +155,7 @@ def existing_ids(items: DataFrame, extensions: Sequence[str] = C.MERGED_EXTENSIO
     """``(label, photo_id)`` of items whose file stem is an integer."""
     return (
         items.filter(has_extension(F.col("name"), extensions))
-        .select("label", F.expr("name"), stem(F.col("name")).alias("_stem"))
+        .select("label", stem(F.col("name")).alias("_stem"))
         .select("label", F.expr("try_cast(_stem AS bigint)").alias("photo_id"))
         .filter(F.col("photo_id").isNotNull())
         .distinct()
