@@ -101,9 +101,10 @@ def pair_distance(a: Column, b: Column) -> Column:
 
 
 def nearest_other(vector: Column, index: Column, packed: Broadcast) -> Column:
-    """[row number, distance] of the nearest matrix row other than ``index``.
+    """[row number, distance] of the nearest other matrix row, and the own distance.
 
-    ``index`` -1 excludes nothing; ties go to the smallest row number.
+    ``index`` is the vector's own row; -1 means that it is not in this matrix,
+    and the own distance is then -inf. Ties go to the smallest row number.
     """
 
     @F.arrow_udf("array<double>")
@@ -113,11 +114,12 @@ def nearest_other(vector: Column, index: Column, packed: Broadcast) -> Column:
             return pa.array([], pa.list_(pa.float64()))
         rows = unit_rows(matrix(vectors))
         own = np.asarray(indexes, dtype=np.int64)
-        out = np.empty((len(rows), 2))
+        out = np.full((len(rows), 3), -np.inf)
         for part in blocks(len(rows), len(reference)):
             distance = 1.0 - rows[part] @ reference.T
             here = own[part]
             mine = np.nonzero(here >= 0)[0]
+            out[part.start + mine, 2] = distance[mine, here[mine]]
             distance[mine, here[mine]] = np.inf
             best = distance.argmin(axis=1)
             out[part, 0] = best

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from corpusmill.functions.hashing import key_int, shuffle_key
 from corpusmill.operators.catalog import dense_label_map
 from corpusmill.plans.ranking import hash_rank
-from corpusmill.plans.sizing import join_small
+from corpusmill.plans.sizing import join_small, small_table
 
 
 def samples(
@@ -90,7 +90,7 @@ def balanced_resample(
     if draws is None:
         draws = samples_df.select(F.col(item).alias("draw_id"))
     ranked = hash_rank(samples_df, [label], item, seed, "_rank", "_size")
-    sizes = samples_df.groupBy(label).agg(F.count(F.lit(1)).alias("_size"))
+    sizes, _ = small_table(samples_df.groupBy(label).agg(F.count(F.lit(1)).alias("_size")))
     classes = dense_label_map(sizes, label).join(sizes, label)
     n_classes = max(1, classes.count())
     key = shuffle_key(F.concat(F.lit("draw:"), F.col("draw_id").cast("string")), seed)

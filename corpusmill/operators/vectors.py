@@ -159,13 +159,15 @@ def outliers(
     group: Sequence[str] = ("label",),
     item: str = "item_id",
     vector: str = "embedding",
+    cents: DataFrame | None = None,
 ) -> DataFrame:
     """``(*group, item, distance, is_outlier)``: strictly beyond mean + sigma * std.
 
     Groups below ``min_items`` get distance 0 and no outlier. The vectors are
-    read twice (centroids, distances); the narrow distances are written once.
+    read twice (centroids, distances), once when ``cents`` are given; the
+    narrow distances are written once.
     """
-    cents = centroids(vectors, group, vector)
+    cents = centroids(vectors, group, vector) if cents is None else cents
     narrow = cut(
         own_distances(vectors, cents, group, vector).select(*group, item, "distance")
     )
@@ -269,25 +271,22 @@ def mislabeled(
     item: str = "item_id",
     vector: str = "embedding",
     max_bytes: int = BROADCAST_BYTES,
+    cents: DataFrame | None = None,
 ) -> DataFrame:
     """``(label, item, own_distance, nearest_label, nearest_distance, suspected)``.
 
-    Centroids travel in broadcast blocks of at most ``max_bytes``. One block is
-    a map-only pass; several blocks are scanned one by one and their minima
+    Centroids travel in broadcast blocks of about ``max_bytes``. One block is a
+    map-only pass; several blocks are scanned one by one and their minima
     merged per item. Fewer than two labels give no rows.
     """
-    cents = cut(centroids(vectors, (label,), vector))
+    cents = cut(centroids(vectors, (label,), vector)) if cents is None else cents
     first = cents.select(F.size("centroid")).limit(1).collect()
     n_labels = cents.count()
     dim = first[0][0] if first else 1
-    names = ["own_distance", "nearest_label", "nearest_distance"]
     present = vectors.filter(F.col(vector).isNotNull())
     n_blocks = max(1, -(-n_labels * dim * 8 // max_bytes))
     if n_labels < 2:
         present, n_blocks = present.filter(F.lit(False)), 1
-    own = own_distances(present, cents, (label,), vector, max_bytes).select(
-        label, item, vector, F.col("distance").alias("own_distance")
-    )
     found = []
     for block in range(n_blocks):
         part = cents if n_blocks == 1 else cents.filter(
@@ -296,10 +295,8 @@ def mislabeled(
         packed = pack(part, (label,), "centroid", 2 * max_bytes)
         if packed is None:
             raise ValueError("uneven centroid blocks; raise max_bytes")
-        index, reference = packed
-        if n_blocks > 1 and len(reference.value) == 0:
-            continue
-        found.append(_nearest_in_block(own, index, reference, label, item, vector))
+        if n_blocks == 1 or len(packed[1].value):
+            found.append(_nearest_in_block(present, *packed, label, item, vector))
     best = found[0]
     for other in found[1:]:
         best = best.unionByName(other)
@@ -307,37 +304,40 @@ def mislabeled(
         best = (
             best.groupBy(label, item)
             .agg(
-                F.first("own_distance").alias("own_distance"),
+                F.max("own_distance").alias("own_distance"),
                 F.min(F.struct("nearest_distance", "nearest_label")).alias("_best"),
             )
             .select(label, item, "own_distance", "_best.nearest_label", "_best.nearest_distance")
         )
+    gap = F.col("own_distance") - F.col("nearest_distance")
     return best.select(
         label,
         item,
-        round_to(F.col(names[0]), 4).alias(names[0]),
-        names[1],
-        round_to(F.col(names[2]), 4).alias(names[2]),
-        (F.col(names[0]) - F.col(names[2]) > F.lit(float(margin))).alias("suspected"),
+        round_to(F.col("own_distance"), 4).alias("own_distance"),
+        "nearest_label",
+        round_to(F.col("nearest_distance"), 4).alias("nearest_distance"),
+        (gap > F.lit(float(margin))).alias("suspected"),
     )
 
 
-def _nearest_in_block(own, index, reference, label, item, vector) -> DataFrame:
-    """Nearest foreign centroid of one block; rows without one are left out."""
+def _nearest_in_block(present, index, reference, label, item, vector) -> DataFrame:
+    """Nearest foreign centroid of one block (inf when it holds no other label)."""
     names = index.select(
         F.col("_index").cast("double").alias("_at"), F.col(label).alias("nearest_label")
     )
+    own = F.coalesce("_index", F.lit(-1))
     return (
-        own.join(F.broadcast(index), label, "left")
-        .withColumn(
-            "_near",
-            V.nearest_other(F.col(vector), F.coalesce("_index", F.lit(-1)), reference),
+        present.join(F.broadcast(index), label, "left")
+        .withColumn("_near", V.nearest_other(F.col(vector), own, reference))
+        .select(
+            label,
+            item,
+            F.col("_near")[0].alias("_at"),
+            F.col("_near")[1].alias("nearest_distance"),
+            F.col("_near")[2].alias("own_distance"),
         )
-        .withColumn("_at", F.col("_near")[0])
-        .withColumn("nearest_distance", F.col("_near")[1])
-        .filter(F.col("nearest_distance") < float("inf"))
         .join(F.broadcast(names), "_at")
-        .select(label, item, "own_distance", "nearest_label", "nearest_distance")
+        .drop("_at")
     )
 
 
@@ -358,32 +358,34 @@ def split_copies(
     item: str = "item_id",
     vector: str = "embedding",
     score: str | None = None,
-) -> tuple[DataFrame, DataFrame]:
-    """Separate bit-identical vectors: ``(distinct rows, copies)``.
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Separate bit-identical vectors: ``(distinct rows, copies, sizes)``.
 
     Each set of copies is represented by its best item (highest ``score``,
-    then smallest id). ``copies`` lists the others as ``(*group, kept, removed)``.
-    Sets are found on a 128-bit hash with map-side aggregation, so a set that
-    holds a third of the rows costs one row per partition.
+    then smallest id). ``copies`` lists the others as ``(*group, kept, removed)``,
+    ``sizes`` the number ``n`` of distinct vectors per group. Sets are found on
+    a 128-bit hash with map-side aggregation, so a set that holds a third of
+    the rows costs one row per partition; the narrow sets are written once.
     """
     value = F.coalesce(F.col(score), F.lit(0.0)) if score else F.lit(0.0)
     hashed = vectors.filter(F.col(vector).isNotNull()).withColumns(
         {"_h1": F.xxhash64(vector), "_h2": F.xxhash64(F.reverse(vector)), "_score": value}
     )
-    sets = (
-        hashed.groupBy(*group, "_h1", "_h2")
-        .agg(
+    every = cut(
+        hashed.groupBy(*group, "_h1", "_h2").agg(
             F.count(F.lit(1)).alias("_copies"),
             F.min(F.struct((-F.col("_score")).alias("s"), F.col(item).alias("i"))).alias("_best"),
         )
-        .filter(F.col("_copies") > 1)
-        .select(*group, "_h1", "_h2", F.col("_best.i").alias("kept"))
     )
+    sets = every.filter(F.col("_copies") > 1).select(
+        *group, "_h1", "_h2", F.col("_best.i").alias("kept")
+    )
+    sizes = every.groupBy(*group).agg(F.count(F.lit(1)).alias("n"))
     marked = join_small(hashed, sets, [*group, "_h1", "_h2"], "left")
     is_copy = F.col("kept").isNotNull() & (F.col("kept") != F.col(item))
     distinct = marked.filter(~is_copy).drop("kept", "_h2")
     copies = marked.filter(is_copy).select(*group, "kept", F.col(item).alias("removed"))
-    return distinct, copies
+    return distinct, copies, sizes
 
 
 def _tile_pairs(group: Sequence[str], item: str, vector: str, threshold: float, schema: pa.Schema):
@@ -427,6 +429,7 @@ def near_pairs(
     item: str = "item_id",
     vector: str = "embedding",
     tile: int = TILE,
+    sizes: DataFrame | None = None,
 ) -> DataFrame:
     """Exact pairs of one group with cosine strictly above ``threshold``.
 
@@ -435,13 +438,13 @@ def near_pairs(
     tiles is one task-sized matrix product, so a dominant label becomes many
     equal units. Only pairs above the threshold leave a task. Feed it the
     distinct rows of :func:`split_copies`, so that identical vectors do not
-    multiply.
+    multiply, and its ``sizes``, which saves counting them again.
     """
     narrow = distinct.filter(F.col(vector).isNotNull()).select(*group, item, vector)
-    sizes = narrow.groupBy(*group).agg(
-        F.ceil(F.count(F.lit(1)) / F.lit(tile)).cast("int").alias("_tiles")
-    )
-    keyed = join_small(narrow, sizes, group).withColumn(
+    if sizes is None:
+        sizes = narrow.groupBy(*group).agg(F.count(F.lit(1)).alias("n"))
+    tiles = sizes.select(*group, F.ceil(F.col("n") / F.lit(tile)).cast("int").alias("_tiles"))
+    keyed = join_small(narrow, tiles, group).withColumn(
         "_tile", F.pmod(F.xxhash64(item), F.col("_tiles")).cast("int")
     )
     paired = keyed.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_tiles") - 1)))
@@ -610,8 +613,8 @@ def near_duplicates(
     with_score = vectors.select(*group, item, vector).join(
         scores.select(*group, item, score), [*group, item], "left"
     )
-    distinct, copies = split_copies(with_score, group, item, vector, score)
-    pairs = near_pairs(distinct, threshold, group, item, vector)
+    distinct, copies, sizes = split_copies(with_score, group, item, vector, score)
+    pairs = near_pairs(distinct, threshold, group, item, vector, sizes=sizes)
     return resolve_duplicates(
         pairs, scores, group, item, score, copies if threshold < 1.0 else None
     )

@@ -86,11 +86,11 @@ def scores(vecs: DataFrame) -> DataFrame:
     )
 
 
-def prototypes(vecs: DataFrame) -> DataFrame:
+def prototypes(vecs: DataFrame, cents: DataFrame | None = None) -> DataFrame:
     """Centroids of labels 0..5 stand for the six categories."""
     names = F.array(*[F.lit(c) for c in CATEGORIES])
     return (
-        O.centroids(vecs)
+        (O.centroids(vecs) if cents is None else cents)
         .filter(F.col("label") < len(CATEGORIES))
         .select(F.element_at(names, F.col("label") + 1).alias("category"),
                 F.col("centroid").alias("embedding"))
@@ -141,8 +141,8 @@ def label_outliers(spark, sf_dir):
 
 
 def near_duplicate_pairs(spark, sf_dir):
-    distinct, _ = O.split_copies(vectors(spark, sf_dir))
-    return O.near_pairs(distinct, PAIR_THRESHOLD).withColumn(
+    distinct, _, sizes = O.split_copies(vectors(spark, sf_dir))
+    return O.near_pairs(distinct, PAIR_THRESHOLD, sizes=sizes).withColumn(
         "similarity", F.round("similarity", 4)
     )
 

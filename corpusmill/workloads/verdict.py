@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from corpusmill.operators import vectors as VO
 from corpusmill.operators import verdict as O
 from corpusmill.operators.catalog import dense_label_map
+from corpusmill.plans.lineage import cut
 from corpusmill.workloads import vectors as VW
 from corpusmill.workloads.tables import table
 
@@ -17,12 +18,13 @@ CAP = 20
 def _verdicts(spark, sf_dir):
     vecs = VW.vectors(spark, sf_dir)
     scores = VW.scores(vecs)
+    cents = cut(VO.centroids(vecs))
     return O.verdict(
         scores,
-        classified=VO.zero_shot(vecs, VW.prototypes(vecs)),
-        outliers=VO.outliers(vecs),
+        classified=VO.zero_shot(vecs, VW.prototypes(vecs, cents)),
+        outliers=VO.outliers(vecs, cents=cents),
         duplicates=VO.near_duplicates(vecs, scores, VW.PAIR_THRESHOLD),
-        mislabels=VO.mislabeled(vecs, MARGIN),
+        mislabels=VO.mislabeled(vecs, MARGIN, cents=cents),
         reject_categories=("illustration", "screen_scan"),
     )
 
@@ -117,8 +119,9 @@ def _report(spark, sf_dir):
     vecs = VW.vectors(spark, sf_dir)
     scores = VW.scores(vecs)
     done = vecs.filter("label < 2").select("label").distinct()
+    cents = cut(VO.centroids(vecs))
     return O.quality_report(
-        vecs, VO.zero_shot(vecs, VW.prototypes(vecs)), VO.outliers(vecs),
+        vecs, VO.zero_shot(vecs, VW.prototypes(vecs, cents)), VO.outliers(vecs, cents=cents),
         scores.withColumns({c: F.col("composite_score") for c in ("detection_score", "bbox_pct", "sharpness")}),
         VO.near_duplicates(vecs, scores, VW.PAIR_THRESHOLD), done,
     )
