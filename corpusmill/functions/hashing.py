@@ -18,7 +18,3 @@ def shuffle_key(item: Column, seed: int | str = 42) -> Column:
 def key_int(key: Column, start: int = 1, digits: int = 8) -> Column:
     """Integer value of some hex digits of a shuffle key."""
     return F.conv(F.substring(key, start, digits), 16, 10).cast("bigint")
-
-
-def salt(*columns: Column, salts: int) -> Column:
-    return F.pmod(F.xxhash64(*columns), F.lit(salts)).cast("int")

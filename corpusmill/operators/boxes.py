@@ -167,7 +167,7 @@ def review_sample(
         "_quota", F.when(F.col("missing"), n_missing).otherwise(n_detected)
     )
     order = [shuffle_key(F.col("name"), seed), F.col("name")]
-    picks = top_n(marked, ["label", "missing"], order, max(n_detected, n_missing), ["name"], "_quota")
+    picks = top_n(marked, ["label", "missing"], order, max(n_detected, n_missing), "_quota")
     readable = items.filter(F.col("width") > 0).select("label", "name")
     return picks.drop("_quota").join(readable, ["label", "name"], "left_semi")
 
@@ -180,7 +180,7 @@ def first_n(
 ) -> DataFrame:
     """The first n items of each group by name."""
     rows = items if extensions is None else items.filter(has_extension(F.col("name"), extensions))
-    return top_n(rows, group, [F.col("name")], n, ["name"])
+    return top_n(rows, group, [F.col("name")], n)
 
 
 def random_labels(df: DataFrame, k: int, seed: int = 42, label: str = "label") -> DataFrame:
@@ -192,7 +192,7 @@ def random_labels(df: DataFrame, k: int, seed: int = 42, label: str = "label") -
 def validation_queue(items: DataFrame, validated: DataFrame, n: int, seed: int = 42) -> DataFrame:
     """Up to n pseudo-random items per label that nobody validated yet."""
     todo = items.join(validated.select("label", "name"), ["label", "name"], "left_anti")
-    return top_n(todo, ["label"], [shuffle_key(F.col("name"), seed), F.col("name")], n, ["name"])
+    return top_n(todo, ["label"], [shuffle_key(F.col("name"), seed), F.col("name")], n)
 
 
 # -- B11 - B13 -----------------------------------------------------------------

@@ -54,7 +54,7 @@ def stratified_sample(
         rows, order = rows.filter(F.col("source") == REJECTED), [-value]
     else:
         raise ValueError(f"unknown mode {mode!r}")
-    return top_n(rows, [label], [*order, F.col("source"), F.col(item)], n, [item])
+    return top_n(rows, [label], [*order, F.col("source"), F.col(item)], n)
 
 
 def review_queue(

@@ -148,7 +148,7 @@ def sample_per_label(
 ) -> DataFrame:
     """n pseudo-random photos per label."""
     order = [shuffle_key(F.col("photo_id"), seed), F.col("photo_id")]
-    return top_n(candidates, group, order, n, ["photo_id"]).drop("rn")
+    return top_n(candidates, group, order, n).drop("rn")
 
 
 def existing_ids(items: DataFrame, extensions: Sequence[str] = C.MERGED_EXTENSIONS) -> DataFrame:
@@ -233,7 +233,7 @@ def fill_tiers(
         (F.col("position") <= max_position) & in_box(F.col("latitude"), F.col("longitude"), box)
     )
     first = cut(
-        top_n(dedupe_bursts(inside, group), ["label"], order, largest, ["photo_id"], "needed")
+        top_n(dedupe_bursts(inside, group), ["label"], order, largest, "needed")
         .select("label", "photo_id", "extension")
     )
 
@@ -254,7 +254,7 @@ def fill_tiers(
         limit = F.when(relaxed, F.lit(C.RELAXED_POSITION)).otherwise(F.lit(0))
     second = top_n(
         dedupe_bursts(rest.filter(F.col("position") <= limit), ("label", "_left")),
-        ["label"], order, largest, ["photo_id"], "_left",
+        ["label"], order, largest, "_left",
     ).select("label", "photo_id", "extension")
     return first.withColumn("source", F.lit(tiers[0])).unionByName(
         second.withColumn("source", F.lit(tiers[1]))
@@ -286,7 +286,7 @@ def fill_priority(
         F.min("tier").alias("tier"), F.first("extension").alias("extension")
     )
     order = [F.col("tier"), shuffle_key(F.col("photo_id"), seed), F.col("photo_id")]
-    return top_n(both, ["label"], order, _largest(needs), ["photo_id"], "needed").select(
+    return top_n(both, ["label"], order, _largest(needs), "needed").select(
         "label", "photo_id", "extension", "tier"
     )
 

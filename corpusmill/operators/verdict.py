@@ -90,7 +90,7 @@ def cap_per_label(
     place = F.struct((-value).alias("_s"), *[F.col(c) for c in ties])
     survivors = verdicts.filter(~F.col("removed")).select(*group, *ties, F.col(score))
     cutoff = (
-        top_n(survivors, group, [-value, *[F.col(c) for c in ties]], n, [item])
+        top_n(survivors, group, [-value, *[F.col(c) for c in ties]], n)
         .filter(F.col("rn") == n)
         .select(*group, place.alias("_cutoff"))
     )

@@ -16,12 +16,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from corpusmill.functions.hashing import salt, shuffle_key
+from corpusmill.functions.hashing import shuffle_key
 from corpusmill.plans.lineage import cut
-from corpusmill.plans.sizing import join_small
+from corpusmill.plans.sizing import join_small, small_table
 
 SALTS = 64
-PREFIX_DIGITS = 3
+BUCKET_ROWS = 200_000
 
 
 def top_n(
@@ -29,22 +29,22 @@ def top_n(
     group: Sequence[str],
     order: Sequence[Column],
     n: int,
-    spread: Sequence[str],
     quota: str | None = None,
     rank: str = "rn",
     salts: int = SALTS,
 ) -> DataFrame:
     """First ``n`` rows per group by a total order, with their rank.
 
-    Stage one keeps n rows of each (group, salt) - Spark prunes this before
-    the shuffle with a window group limit - and stage two ranks what is left,
-    at most ``salts * n`` rows per group. ``quota`` names a column holding a
-    smaller per-row limit; ``n`` must bound it.
+    Every input partition keeps at most n rows of a group before any shuffle
+    (Spark's window group limit). The partitions are then merged in two steps,
+    first ``salts`` ways, so the last task of a group receives at most
+    ``salts * n`` rows however many partitions held it. ``quota`` names a
+    column holding a smaller per-row limit; ``n`` must bound it.
     """
     keep = F.col(rank) <= n
     if quota is not None:
         keep = keep & (F.col(rank) <= F.col(quota))
-    salted = df.withColumn("_salt", salt(*[F.col(c) for c in spread], salts=salts))
+    salted = df.withColumn("_salt", F.spark_partition_id() % salts)
     first = W.partitionBy(*group, "_salt").orderBy(*order)
     part = salted.withColumn(rank, F.row_number().over(first)).filter(keep).drop(rank, "_salt")
     final = W.partitionBy(*group).orderBy(*order)
@@ -58,30 +58,40 @@ def hash_rank(
     seed: int | str = 42,
     rank: str = "rn",
     size: str = "n",
+    bucket_rows: int = BUCKET_ROWS,
 ) -> DataFrame:
     """Seeded pseudo-random rank (from 1) and group size for every row.
 
-    md5 digits are uniform, so the key prefix cuts any group into 4096 even
-    buckets. Bucket counts give the offsets; only a bucket is ever sorted.
+    md5 digits are uniform, so a key prefix cuts a group into even buckets.
+    The prefix grows with the group until a bucket holds at most about
+    ``bucket_rows``; small groups are one bucket. Offsets are counted for the
+    buckets of large groups only, and no task sorts more than a bucket.
     """
-    keyed = df.withColumn("_key", shuffle_key(F.col(item), seed)).withColumn(
-        "_bucket", F.substring("_key", 1, PREFIX_DIGITS)
-    )
-    counts = keyed.groupBy(*group, "_bucket").agg(F.count(F.lit(1)).alias("_count"))
-    whole = W.partitionBy(*group)
-    before = whole.orderBy("_bucket").rowsBetween(W.unboundedPreceding, -1)
-    offsets = counts.select(
-        *group,
-        "_bucket",
-        F.coalesce(F.sum("_count").over(before), F.lit(0)).alias("_offset"),
-        F.sum("_count").over(whole).alias(size),
+    digits = F.greatest(
+        F.lit(0), F.ceil(F.log(F.col(size) / F.lit(float(bucket_rows))) / F.log(F.lit(16.0)))
+    ).cast("int")
+    sizes, _ = small_table(df.groupBy(*group).agg(F.count(F.lit(1)).alias(size)))
+    sizes = sizes.withColumn("_digits", digits)
+    keyed = (
+        join_small(df, sizes, group)
+        .withColumn("_key", shuffle_key(F.col(item), seed))
+        .withColumn("_bucket", F.substr("_key", F.lit(1), F.col("_digits")))
     )
     inside = W.partitionBy(*group, "_bucket").orderBy("_key", item)
-    return (
-        join_small(keyed, offsets, [*group, "_bucket"])
-        .withColumn(rank, F.col("_offset") + F.row_number().over(inside))
-        .drop("_key", "_bucket", "_offset")
-    )
+    if sizes.filter("_digits > 0").isEmpty():
+        ranked = keyed.withColumn(rank, F.row_number().over(inside).cast("bigint"))
+    else:
+        counts = (
+            keyed.filter("_digits > 0").groupBy(*group, "_bucket").agg(F.count(F.lit(1)).alias("_count"))
+        )
+        before = W.partitionBy(*group).orderBy("_bucket").rowsBetween(W.unboundedPreceding, -1)
+        offsets = counts.select(*group, "_bucket", F.sum("_count").over(before).alias("_offset"))
+        ranked = (
+            join_small(keyed, offsets, [*group, "_bucket"], "left")
+            .withColumn(rank, F.coalesce("_offset", F.lit(0)) + F.row_number().over(inside))
+            .drop("_offset")
+        )
+    return ranked.drop("_key", "_bucket", "_digits")
 
 
 def range_rank(

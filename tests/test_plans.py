@@ -29,12 +29,12 @@ def test_top_n_equals_window(spark):
     df = skewed(spark)
     order = [F.col("score"), F.col("item_id")]
     plain = df.withColumn("rn", F.row_number().over(W.partitionBy("label").orderBy(*order))).filter("rn <= 9")
-    assert rows(top_n(df, ["label"], order, 9, ["item_id"])) == rows(plain)
+    assert rows(top_n(df, ["label"], order, 9)) == rows(plain)
 
 
 def test_top_n_quota(spark):
     df = skewed(spark).withColumn("q", F.when(F.col("label") == "hot", 11).otherwise(2))
-    got = top_n(df, ["label"], [F.col("item_id")], 11, ["item_id"], "q").groupBy("label").count()
+    got = top_n(df, ["label"], [F.col("item_id")], 11, "q").groupBy("label").count()
     counts = dict(rows(got))
     assert counts.pop("hot") == 11 and set(counts.values()) == {2}
 
@@ -43,8 +43,9 @@ def test_hash_rank_equals_window(spark):
     df = skewed(spark)
     w = W.partitionBy("label").orderBy(shuffle_key(F.col("item_id")), "item_id")
     plain = df.withColumn("rn", F.row_number().over(w)).withColumn("n", F.count("*").over(W.partitionBy("label")))
-    got = hash_rank(df, ["label"], "item_id").select(*plain.columns)
-    assert rows(got) == rows(plain)
+    for bucket_rows in (5, 100, 10**6):
+        got = hash_rank(df, ["label"], "item_id", bucket_rows=bucket_rows).select(*plain.columns)
+        assert rows(got) == rows(plain)
 
 
 def test_hash_rank_survives_repartitioning(spark):
