@@ -51,7 +51,7 @@ def clip_boxes(
         }
     )
     area = F.col("width") * F.col("height")
-    tiny = (area > 0) & (F.col("_w") * F.col("_h") / area < min_area_ratio)
+    tiny = F.coalesce(F.try_divide(F.col("_w") * F.col("_h"), area) < min_area_ratio, F.lit(False))
     box = F.struct(*[half_even(F.col(f"_{c}")).alias(c) for c in "xywh"])
     return cut.filter((F.col("_w") > 0) & (F.col("_h") > 0) & ~tiny).select(
         *keys, "det_idx", box.alias("bbox"), round_to(F.col("score"), 4).alias("score"), "width", "height"
@@ -72,7 +72,7 @@ def best_detection(
     items without a detection get a null box.
     """
     area = F.col("width") * F.col("height")
-    fits = F.coalesce((area > 0) & (box_area() / area <= max_ratio), F.lit(False))
+    fits = F.coalesce(F.try_divide(box_area(), area) <= max_ratio, F.lit(False))
     place = F.struct(
         fits.alias("fits"),
         F.when(fits, box_area().cast("double")).otherwise(F.col("score")).alias("by"),
@@ -258,7 +258,7 @@ def annotation_qa(clipped: DataFrame, expected: DataFrame, keys: Sequence[str] =
     or below 1 % of its image, mean score above 0.6. ``expected`` is
     ``(*keys, width, height, subjects)``.
     """
-    ratio = box_area() / (F.col("width") * F.col("height"))
+    ratio = F.try_divide(box_area(), F.col("width") * F.col("height"))
     per_item = clipped.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("_n"),
         F.count_if(ratio > 0.95).alias("_giant"),
@@ -267,10 +267,10 @@ def annotation_qa(clipped: DataFrame, expected: DataFrame, keys: Sequence[str] =
     )
     positive = F.col("subjects") > 0
     whole = expected.select(*keys, "subjects").join(per_item, list(keys), "left").agg(
-        (F.count_if(positive & (F.col("_n") > 0)) / F.count_if(positive)).alias("rate"),
+        F.try_divide(F.count_if(positive & (F.col("_n") > 0)), F.count_if(positive)).alias("rate"),
         F.coalesce(F.sum("_giant"), F.lit(0)).cast("double").alias("giant"),
         F.coalesce(F.sum("_micro"), F.lit(0)).cast("double").alias("micro"),
-        (F.sum("_score") / F.sum("_n")).alias("mean"),
+        F.try_divide(F.sum("_score"), F.sum("_n")).alias("mean"),
     )
     rules = (
         ("detection_rate", "rate", F.col("rate") >= 0.70),
@@ -296,4 +296,4 @@ def small_boxes(
         items.select(*keys, "width", "height"), list(keys)
     )
     area = F.col("width") * F.col("height")
-    return sized.filter((area > 0) & (box_area() / area * 100 < min_pct)).select(*keys)
+    return sized.filter(F.try_divide(box_area(), area) * 100 < min_pct).select(*keys)

@@ -77,7 +77,7 @@ def composite_score(df: DataFrame, weights: Mapping[str, float] = QUALITY_WEIGHT
     usable = F.col("bbox").isNotNull() & F.coalesce(F.col("width") > 0, F.lit(False))
     detection = F.coalesce(F.col("score"), F.lit(0.0)).cast("double")
     area = F.col("width") * F.col("height")
-    pct = F.when(area > 0, F.col("bbox.w") * F.col("bbox.h") / area * 100).otherwise(0.0)
+    pct = F.coalesce(F.try_divide(F.col("bbox.w") * F.col("bbox.h"), area) * 100, F.lit(0.0))
     sharp = F.coalesce(F.col("sharpness"), F.lit(0.0)).cast("double")
     composite = (
         F.lit(float(weights["detection_score"])) * F.least(detection, F.lit(1.0))

@@ -107,7 +107,7 @@ def best_checkpoints(spark, sf_dir):
         .when(F.col("o_orderpriority") == "5-LOW", "efficientnetv2_b2")
         .otherwise(F.concat(F.lit("other_"), "o_orderpriority"))
     )
-    rows = table(spark, sf_dir, "orders").filter("o_orderstatus = 'P'").select(
+    rows = table(spark, sf_dir, "orders").select(
         F.date_format("o_orderdate", "yyyy-MM").alias("run"),
         F.concat(F.lit("best_"), F.lpad(F.col("o_orderkey").cast("string"), 9, "0"), F.lit(".pth")).alias("path"),
         arch.alias("arch"),
@@ -202,7 +202,7 @@ ORACLES = {
       FROM b JOIN nation x ON x.n_nationkey = a JOIN nation y ON y.n_nationkey = b""",
     "best_checkpoints": """WITH c AS (SELECT strftime(o_orderdate, '%Y-%m') AS run, 'best_' || lpad(CAST(o_orderkey AS VARCHAR), 9, '0') || '.pth' AS path,
         CASE o_orderpriority WHEN '2-HIGH' THEN 'efficientnet_b0' WHEN '3-MEDIUM' THEN 'mobilenetv2'
-             WHEN '5-LOW' THEN 'efficientnetv2_b2' ELSE 'other_' || o_orderpriority END AS arch FROM orders WHERE o_orderstatus = 'P'),
+             WHEN '5-LOW' THEN 'efficientnetv2_b2' ELSE 'other_' || o_orderpriority END AS arch FROM orders),
       r AS (SELECT *, CASE arch WHEN 'vit_b_16' THEN 0 WHEN 'efficientnetv2_b2' THEN 1 WHEN 'efficientnet_b0' THEN 2 WHEN 'mobilenetv2' THEN 3 ELSE 4 END AS rk FROM c),
       b AS (SELECT * FROM r QUALIFY row_number() OVER (PARTITION BY run ORDER BY rk, path) = 1)
       SELECT run, path, arch, CASE arch WHEN 'efficientnetv2_b2' THEN 'EfficientNetV2-B2' WHEN 'efficientnet_b0' THEN 'EfficientNet-B0'

@@ -47,10 +47,10 @@ def _by_language(spark, sf_dir):
 
 
 def class_weights(spark, sf_dir):
-    """Languages of labelled toxic documents, weighted against all languages."""
+    """Source and language of toxic documents, weighted against all of them."""
     toxic = table(spark, sf_dir, "labels").filter("toxic = 1").join(
         table(spark, sf_dir, "documents"), "doc_id"
-    ).filter("n_chars < 2000").select(F.concat_ws("_", "source", "lang").alias("label"))
+    ).select(F.concat_ws("_", "source", "lang").alias("label"))
     whole = table(spark, sf_dir, "documents").select(F.concat_ws("_", "source", "lang").alias("label"))
     return O.class_weights(toxic, dense_label_map(whole)).withColumn("weight", F.round("weight", 6))
 
@@ -105,7 +105,7 @@ ORACLES = {
     "class_weights": """WITH a AS (SELECT DISTINCT source || '_' || lang AS label FROM documents),
       m AS (SELECT label, CAST(row_number() OVER (ORDER BY label) - 1 AS INTEGER) AS idx FROM a),
       c AS (SELECT source || '_' || lang AS label, count(*) AS items FROM labels JOIN documents USING (doc_id)
-            WHERE toxic = 1 AND n_chars < 2000 GROUP BY 1)
+            WHERE toxic = 1 GROUP BY 1)
       SELECT label, idx, coalesce(items, 0) AS items, CASE WHEN items > 0 THEN round(1 / items, 6) ELSE 0 END AS weight
       FROM m LEFT JOIN c USING (label)""",
     "balanced_resample": """WITH rk AS (
