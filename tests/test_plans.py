@@ -62,6 +62,37 @@ def test_range_rank_equals_window(spark):
     assert rows(range_rank(df, [], [F.col("label"), *order])) == rows(whole)
 
 
+def test_range_rank_over_many_partitions(spark):
+    """Without coalescing, a dominant group really spans several range partitions."""
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(key, "false")
+    try:
+        df = skewed(spark).repartition(5)
+        order = [F.col("score"), F.col("item_id")]
+        ranged = df.repartitionByRange("label", *order).filter("label = 'hot'").select(F.spark_partition_id().alias("p"))
+        assert ranged.distinct().count() > 1
+        plain = df.withColumn("rn", F.row_number().over(W.partitionBy("label").orderBy(*order)))
+        assert rows(range_rank(df, ["label"], order)) == rows(plain)
+        top = plain.filter("rn <= 9")
+        assert rows(top_n(df, ["label"], order, 9, salts=2)) == rows(top)
+    finally:
+        spark.conf.unset(key)
+
+
+def test_ranks_without_broadcast(spark, monkeypatch):
+    from functools import partial
+
+    from corpusmill.plans import ranking
+
+    df = skewed(spark, 800)
+    want = rows(hash_rank(df, ["label"], "item_id", bucket_rows=20))
+    want_range = rows(range_rank(df, ["label"], [F.col("score"), F.col("item_id")]))
+    monkeypatch.setattr(ranking, "join_small", partial(join_small, max_bytes=8))
+    monkeypatch.setattr(ranking, "small_table", partial(small_table, max_bytes=8))
+    assert rows(hash_rank(df, ["label"], "item_id", bucket_rows=20)) == want
+    assert rows(range_rank(df, ["label"], [F.col("score"), F.col("item_id")])) == want_range
+
+
 def test_running_equals_window(spark):
     random.seed(3)
     data = [(g, i, random.random()) for g in "ab" for i in range(40)]
