@@ -103,7 +103,7 @@ def pending(df: DataFrame, done: DataFrame, keys: Sequence[str] = ("label",), fo
     """Rows whose key is not done yet (all rows with ``force``)."""
     if force:
         return df
-    return df.join(done.select(*keys).distinct(), list(keys), "left_anti")
+    return join_small(df, done.select(*keys).distinct(), keys, "left_anti")
 
 
 def missing_detections(annotations: DataFrame) -> DataFrame:
@@ -169,7 +169,7 @@ def review_sample(
     order = [shuffle_key(F.col("name"), seed), F.col("name")]
     picks = top_n(marked, ["label", "missing"], order, max(n_detected, n_missing), "_quota")
     readable = items.filter(F.col("width") > 0).select("label", "name")
-    return picks.drop("_quota").join(readable, ["label", "name"], "left_semi")
+    return join_small(readable, picks.drop("_quota"), ["label", "name"])
 
 
 def first_n(

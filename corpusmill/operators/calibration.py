@@ -123,8 +123,15 @@ def attach_scores(
     keys: Sequence[str] = ("item_id",),
     score: str = "composite_score",
 ) -> DataFrame:
-    """Ground truth with the score of each key; 0 when there is none."""
-    return ground_truth.join(scores.select(*keys, score), list(keys), "left").withColumn(
+    """Ground truth with the score of each key; 0 when there is none.
+
+    The scores are cut down to the labelled keys first, so a small ground truth
+    never makes the whole score table shuffle.
+    """
+    wanted = join_small(
+        scores.select(*keys, score), ground_truth.select(*keys).distinct(), keys, "left_semi"
+    )
+    return ground_truth.join(wanted, list(keys), "left").withColumn(
         score, F.coalesce(F.col(score), F.lit(0.0))
     )
 

@@ -381,13 +381,17 @@ def pending_transfers(manifest: DataFrame, existing_files: DataFrame) -> DataFra
     ``existing_files`` is ``(label, name)``; the destination suffix is lower-cased.
     """
     photos = manifest.select("label", F.explode("photos").alias("_p")).select("label", "_p.*")
-    wanted = photos.withColumns(
+    named = photos.withColumns(
         {
             "source_key": F.concat(F.lit("photos/"), F.col("photo_id").cast("string"),
                                    F.lit("/medium."), F.col("extension")),
             "name": F.concat(F.col("photo_id").cast("string"), F.lit("."), F.lower("extension")),
         }
     )
-    return wanted.join(existing_files.select("label", "name"), ["label", "name"], "left_anti").select(
+    wanted = cut(named)
+    present = join_small(
+        existing_files.select("label", "name"), wanted.select("label", "name"), ["label", "name"], "left_semi"
+    )
+    return wanted.join(present, ["label", "name"], "left_anti").select(
         "label", "photo_id", "source_key", F.concat_ws("/", "label", "name").alias("destination")
     )

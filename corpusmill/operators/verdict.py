@@ -186,7 +186,7 @@ def quality_report(
     when ``scored`` is given, the four quality columns.
     """
     *group, _ = keys
-    todo = items if done is None else items.join(done.select(*group).distinct(), group, "left_anti")
+    todo = items if done is None else join_small(items, done.select(*group).distinct(), group, "left_anti")
     report = (
         todo.select(*keys)
         .join(classified.select(*keys, "category", "confidence", "scores"), list(keys))
