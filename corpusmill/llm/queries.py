@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corpusmill.llm import exact, packing, simhash
+from corpusmill.llm import exact, packing, ppm, simhash
 from corpusmill.llm.tables import table
 
 
@@ -26,10 +26,15 @@ def simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_components(table(spark, sf_dir, "documents"))
 
 
+def ppm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ppm.ppm_scores(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op3_exact_dedup": exact_dedup,
     "op7_packing": packing_query,
     "op8_simhash": simhash_near_dedup,
+    "op9_ppm": ppm_scores,
 }
 
 ORACLES = {"op3_exact_dedup": exact.ORACLE}

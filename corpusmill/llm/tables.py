@@ -41,8 +41,7 @@ def pieces(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[
     """
     for batch in batches:
         texts = batch.column(batch.schema.get_field_index(column))
-        sizes = texts.cast(pa.large_binary()).nbytes if texts.null_count == len(texts) else texts.nbytes
-        step = max(1, len(texts) * MAX_CHARS // max(sizes, 1))
+        step = max(1, len(texts) * MAX_CHARS // max(texts.nbytes, 1))
         for at in range(0, len(texts), step):
             part = batch.slice(at, step)
             yield part, [x or "" for x in part.column(part.schema.get_field_index(column)).to_pylist()]
