@@ -86,7 +86,8 @@ def exact_duplicates(
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     read = docs.select(F.col(id_col).alias("doc_id"), text.alias("text")).withColumn("h", F.xxhash64("text"))
     index = build_index(read.select("h", "doc_id"), bucket_rows)
-    met = index.filter("n > 1").select("h")
+    # Always a merge join: the choice of join must not change with the number of hashes met twice.
+    met = index.filter("n > 1").select("h").hint("merge")
     chains = stored(
         read.join(met, "h", "left_semi")
         .groupBy("h", "text")
