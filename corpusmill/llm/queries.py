@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corpusmill.llm import exact, packing, ppm, simhash
+from corpusmill.llm import exact, html, language, packing, ppm, simhash, toxicity
 from corpusmill.llm.tables import table
 
 
@@ -26,12 +26,27 @@ def simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_components(table(spark, sf_dir, "documents"))
 
 
+def html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.extracted(table(spark, sf_dir, "pages"))
+
+
+def toxicity_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identified(table(spark, sf_dir, "documents"))
+
+
 def ppm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ppm.ppm_scores(table(spark, sf_dir, "documents"))
 
 
 QUERIES = {
     "op3_exact_dedup": exact_dedup,
+    "op4_html": html_text,
+    "op5_toxicity": toxicity_scores,
+    "op6_language": language_id,
     "op7_packing": packing_query,
     "op8_simhash": simhash_near_dedup,
     "op9_ppm": ppm_scores,
