@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from corpusmill.llm import exact, html, language, packing, ppm, simhash, toxicity
+from corpusmill.llm import decontaminate, exact, html, language, lines, packing, ppm, simhash, toxicity
 from corpusmill.llm.tables import table
 
 
@@ -14,6 +15,13 @@ def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
+def line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with the lines that stay, and how many it had and lost."""
+    return lines.deduplicated(table(spark, sf_dir, "documents")).select(
+        "doc_id", "text", F.col("_lines").alias("n_lines"), F.col("_dropped").alias("n_dropped")
+    )
+
+
 def exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.exact_duplicates(table(spark, sf_dir, "documents"))
 
@@ -38,11 +46,16 @@ def language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identified(table(spark, sf_dir, "documents"))
 
 
+def decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def ppm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ppm.ppm_scores(table(spark, sf_dir, "documents"))
 
 
 QUERIES = {
+    "op2_line_dedup": line_dedup,
     "op3_exact_dedup": exact_dedup,
     "op4_html": html_text,
     "op5_toxicity": toxicity_scores,
@@ -50,6 +63,7 @@ QUERIES = {
     "op7_packing": packing_query,
     "op8_simhash": simhash_near_dedup,
     "op9_ppm": ppm_scores,
+    "op10_decontamination": decontamination,
 }
 
 ORACLES = {"op3_exact_dedup": exact.ORACLE}

@@ -45,3 +45,11 @@ def pieces(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[
         for at in range(0, len(texts), step):
             part = batch.slice(at, step)
             yield part, [x or "" for x in part.column(part.schema.get_field_index(column)).to_pylist()]
+
+
+BROADCAST_BYTES = 48 << 20
+
+
+def sized(df: DataFrame, row_bytes: int) -> DataFrame:
+    """A stored table with a join hint by its counted size: broadcast within the budget, else merge."""
+    return F.broadcast(df) if df.count() * row_bytes <= BROADCAST_BYTES else df.hint("merge")
