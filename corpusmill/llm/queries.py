@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusmill.llm import decontaminate, exact, html, language, lines, packing, ppm, simhash, toxicity
+from corpusmill.llm import decontaminate, exact, html, language, lines, packing, pii, ppm, simhash, toxicity
 from corpusmill.llm.tables import table
 
 
@@ -15,6 +15,10 @@ def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
+def personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.personal_data(table(spark, sf_dir, "documents"))
+
+
 def line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with the lines that stay, and how many it had and lost."""
     return lines.deduplicated(table(spark, sf_dir, "documents")).select(
@@ -55,6 +59,7 @@ def ppm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_pii": personal_data,
     "op2_line_dedup": line_dedup,
     "op3_exact_dedup": exact_dedup,
     "op4_html": html_text,
