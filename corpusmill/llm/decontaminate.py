@@ -78,9 +78,10 @@ def entries(items: DataFrame, id_col: str = "item_id", text_col: str = "text") -
     return both.groupBy("seed", "before", "around").agg(F.min("item_id").alias("item_id"))
 
 
-def _verified() -> Column:
-    """Whether some window of the aligned tokens has few enough differences."""
-    same = F.zip_with("around", "aligned", lambda a, b: F.when(a == b, 0).otherwise(1))
+def _verified() -> tuple[Column, Column]:
+    """Whether some window of the aligned tokens, all inside the document, has few enough differences."""
+    differs = lambda a, b: F.when(b.isNull(), SUBSTITUTIONS + 1).when(a == b, 0).otherwise(1)
+    same = F.zip_with("around", "aligned", differs)
     starts = F.sequence(F.lit(1), F.size("around") - WINDOW + 1)
     differences = lambda s: F.aggregate(F.slice("same", s, WINDOW), F.lit(0), lambda a, x: a + x)
     return F.exists(starts, lambda s: differences(s) <= SUBSTITUTIONS), same
