@@ -21,7 +21,7 @@ def display_name(slug_col: Column) -> Column:
 def label_from_file_name(name: Column) -> Column:
     """``great_tit__12.jpg`` -> ``Great tit``; empty when there is no ``__``."""
     head = F.lower(F.regexp_replace(F.split_part(name, F.lit("__"), F.lit(1)), "_", " "))
-    text = F.concat(F.upper(F.substring(head, 1, 1)), F.substring(head, 2, 1 << 20))
+    text = F.concat(F.upper(F.substring(head, 1, 1)), F.substr(head, F.lit(2)))
     return F.when(F.contains(name, F.lit("__")), text).otherwise(F.lit(""))
 
 

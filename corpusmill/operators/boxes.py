@@ -92,9 +92,13 @@ def annotation_rollup(annotations: DataFrame, label: str = "label") -> DataFrame
         F.count(F.lit(1)).alias("_n"), F.count(F.col("bbox")).alias("_d")
     )
     detected, items = F.col("detected"), F.col("items")
+    none = F.lit(None).cast(annotations.schema[label].dataType).alias(label)
+    total = per_label.agg(
+        F.coalesce(F.sum("_n"), F.lit(0)).alias("items"), F.coalesce(F.sum("_d"), F.lit(0)).alias("detected")
+    )
     return (
-        per_label.rollup(label)
-        .agg(F.sum("_n").alias("items"), F.sum("_d").alias("detected"))
+        per_label.select(label, F.col("_n").alias("items"), F.col("_d").alias("detected"))
+        .unionByName(total.select(none, "items", "detected"))
         .withColumn("pct", F.when(items > 0, round_to(detected / items * 100, 1)).otherwise(0.0))
     )
 

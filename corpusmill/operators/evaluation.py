@@ -6,15 +6,12 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window as W
 
 from corpusmill.functions.constants import ARCH_DISPLAY, ARCH_RANK
 from corpusmill.functions.numeric import argmax, f1_score, log_sum_exp, ratio, round_to, softmax
 from corpusmill.plans.running import running
 from corpusmill.plans.sizing import join_small
 
-MATRIX_CLASSES = 50
-
 
 def cross_entropy(logits: Column, truth: Column) -> Column:
     """-log softmax(logits)[truth], truth zero-based."""
@@ -49,9 +46,7 @@ def confusion_matrix(preds: DataFrame) -> DataFrame:
 
 
 def confusion_table(matrix: DataFrame, classes: Sequence[int]) -> DataFrame:
-    """Wide form for up to 50 classes: one row per truth, one column per class."""
-    if len(classes) > MATRIX_CLASSES:
-        raise ValueError(f"more than {MATRIX_CLASSES} classes; use the long form")
+    """Wide form: one row per truth, one column per given class."""
     return (
         matrix.groupBy("truth").pivot("pred", list(classes)).agg(F.sum("items")).na.fill(0)
     )
@@ -139,22 +134,30 @@ def item_losses(
 
 
 def loss_summary(losses: DataFrame, sigma_k: float = 3.0) -> DataFrame:
-    """One row: items, mean and population std of the loss, threshold."""
+    """One row: items, mean and population std of the loss, threshold and how many lie above it."""
+    limit = _loss_limit(losses, sigma_k)
     return losses.agg(
         F.count(F.lit(1)).alias("total_items"),
         F.avg("loss").alias("mean_loss"),
         F.stddev_pop("loss").alias("std_loss"),
-        (F.avg("loss") + F.lit(float(sigma_k)) * F.stddev_pop("loss")).alias("threshold"),
+        F.first(F.lit(float(sigma_k))).alias("sigma_k"),
+        F.max(limit).alias("threshold"),
+        F.count_if(F.col("loss") > limit).alias("problematic_count"),
     )
 
 
-def loss_outliers(losses: DataFrame, sigma_k: float = 3.0) -> DataFrame:
-    """Losses, highest first, with ``problematic`` = strictly above the threshold.
+def _loss_limit(losses: DataFrame, sigma_k: float) -> Column:
+    """The threshold as a scalar subquery."""
+    return losses.select((F.avg("loss") + F.lit(float(sigma_k)) * F.stddev_pop("loss")).alias("_limit")).scalar()
+
 
-    The threshold is a scalar subquery over the same losses.
+def loss_outliers(losses: DataFrame, sigma_k: float = 3.0, keys: Sequence[str] = ("item_id",)) -> DataFrame:
+    """Losses, highest first and then by key, with ``problematic`` = strictly above the threshold.
+
+    Names are joined before (:func:`with_class_names`), so the order is the last step.
     """
-    limit = loss_summary(losses, sigma_k).select("threshold").scalar()
-    return losses.withColumn("problematic", F.col("loss") > limit).orderBy(F.col("loss").desc())
+    marked = losses.withColumn("problematic", F.col("loss") > _loss_limit(losses, sigma_k))
+    return marked.orderBy(F.col("loss").desc(), *keys)
 
 
 def with_class_names(df: DataFrame, label_map: DataFrame, columns: dict[str, str]) -> DataFrame:
@@ -180,9 +183,9 @@ def top_k(
 ) -> DataFrame:
     """The k likeliest classes per item: rank, class, probability, name, band.
 
-    Sorting happens inside the row's array. ``display_name`` falls back from
-    the metadata name to the label; ``band`` of rank 1 is high above 60 %,
-    medium above 30 %.
+    Sorting happens inside the row's array. A class that the map doesn't hold
+    is ``class_{i}``. ``display_name`` falls back from the metadata name to the
+    label; ``band`` of rank 1 is high above 60 %, medium above 30 %.
     """
     ranked = F.slice(
         F.array_sort(
@@ -214,8 +217,9 @@ def top_k(
         .when((F.col("rank") == 1) & (percent > 30), "medium")
         .otherwise("low")
     )
-    return join_small(rows, names, ["idx"]).select(
-        *keys, "rank", "idx", "label", F.coalesce("_display", "label").alias("display_name"),
+    label = F.coalesce("label", F.concat(F.lit("class_"), F.col("idx").cast("string")))
+    return join_small(rows, names, ["idx"], "left").select(
+        *keys, "rank", "idx", label.alias("label"), F.coalesce(F.col("_display"), label).alias("display_name"),
         "probability", band.alias("band"),
     )
 
@@ -229,17 +233,16 @@ def decimate_and_fill(
 ) -> DataFrame:
     """Keep the prediction of every third frame and reuse it until the next.
 
-    Frames are numbered from 0 without gaps, so the frame to reuse is known:
-    ``frame - frame % every``. The window covers one such run of frames; a
-    source with a third of all frames is still cut into runs.
+    Frames may be missing and a prediction may be null: what is shown is the
+    last one that was made, however many frames ago. It is carried as a running
+    maximum of (frame, prediction), in chunks of frames.
     """
-    run = W.partitionBy(source, F.floor(F.col(frame) / every)).orderBy(frame)
-    return frames.withColumns(
-        {
-            "shown": F.first(prediction).over(run),
-            "predicted": F.col(frame) % every == 0,
-        }
-    )
+    marked = frames.withColumn("predicted", F.col(frame) % every == 0)
+    known = F.col("predicted") & F.col(prediction).isNotNull()
+    made = F.when(known, F.struct(F.when(known, F.col(frame)).alias(frame), F.col(prediction).alias(prediction)))
+    return running(marked, [source], frame, {"_last": ("max", made)}).withColumn(
+        "shown", F.col(f"_last.{prediction}")
+    ).drop("_last")
 
 
 def compare_models(
@@ -248,9 +251,7 @@ def compare_models(
     keys: Sequence[str] = ("item_id",),
     value: str = "label",
 ) -> DataFrame:
-    """One row per item with a column per model (at most 4) and ``agree``."""
-    if len(models) > 4:
-        raise ValueError("at most four models are compared")
+    """One row per item with a column per model and ``agree``."""
     wide = best.groupBy(*keys).agg(
         *[F.max(F.when(F.col("model") == m, F.col(value))).alias(m) for m in models]
     )

@@ -107,8 +107,8 @@ def split_sizes(items: DataFrame, group: Sequence[str] = ("label",)) -> DataFram
 def upsert(existing: DataFrame, incoming: DataFrame, keys: Sequence[str], order: str | None = None) -> DataFrame:
     """Union in which the incoming row replaces an existing one of the same key.
 
-    Among incoming rows of one key the highest ``order`` wins. A hash
-    aggregation on the key, so nothing is sorted per label.
+    Among incoming rows of one key the highest ``order`` wins, then the largest
+    row. A hash aggregation on the key, so nothing is sorted per label.
     """
     columns = existing.columns
     rest = [c for c in columns if c not in keys]
@@ -120,8 +120,8 @@ def upsert(existing: DataFrame, incoming: DataFrame, keys: Sequence[str], order:
     )
     if not rest:
         return both.select(*keys).distinct()
-    picked = both.groupBy(*keys).agg(F.max_by(F.struct(*rest), "_at").alias("_row"))
-    return picked.select(*keys, "_row.*").select(*columns)
+    picked = both.groupBy(*keys).agg(F.max(F.struct("_at", *rest)).alias("_row"))
+    return picked.select(*keys, "_row.*").drop("_at").select(*columns)
 
 
 def merge_corpus(

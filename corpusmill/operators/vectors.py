@@ -25,6 +25,7 @@ from corpusmill.plans.lineage import cut
 from corpusmill.plans.sizing import BROADCAST_BYTES, join_small
 
 PARTIAL_GROUPS = 2048
+SUM_SALTS = 16
 TILE = 4096
 LOCAL_PAIRS = 200_000
 
@@ -73,8 +74,9 @@ def centroids(
 ) -> DataFrame:
     """Mean of the unit vectors of each group, renormalised: ``(*group, n, centroid)``.
 
-    One partial sum per (partition, group) leaves the scan, so a dominant
-    label costs as many rows as there are partitions, not items.
+    One partial sum per (partition, group) leaves the scan as an array and is
+    added to others in two steps, first ``SUM_SALTS`` ways, so a dominant label
+    costs as many rows as there are partitions, whatever the dimension.
     """
     keys = T.StructType([vectors.schema[c] for c in group])
     out = T.StructType(
@@ -86,19 +88,26 @@ def centroids(
         .select(*group, vector)
         .mapInArrow(_partial_sums(to_arrow_schema(out), list(group), vector), out)
     )
-    by_position = (
-        partial.select(*group, "n", F.posexplode("total").alias("pos", "value"))
-        .groupBy(*group, "pos")
-        .agg(F.sum("value").alias("value"), F.sum("n").alias("n"))
-    )
-    ordered = F.transform(
-        F.array_sort(F.collect_list(F.struct("pos", "value"))), lambda s: s["value"]
-    )
-    return (
-        by_position.groupBy(*group)
-        .agg(F.max("n").alias("n"), ordered.alias("total"))
-        .select(*group, "n", V.l2_normalise(F.col("total")).alias("centroid"))
+    salted = T.StructType([*out.fields, T.StructField("_salt", T.IntegerType())])
+    halves = (
+        partial.withColumn("_salt", F.spark_partition_id() % SUM_SALTS)
+        .groupBy(*group, "_salt")
+        .applyInArrow(_added(to_arrow_schema(salted), [*group, "_salt"]), salted)
     )
+    whole = halves.drop("_salt").groupBy(*group).applyInArrow(_added(to_arrow_schema(out), group), out)
+    return whole.select(*group, "n", V.l2_normalise(F.col("total")).alias("centroid"))
+
+
+def _added(schema: pa.Schema, keys: Sequence[str]):
+    """Arrow grouped mapper: one row with the sums of counts and arrays."""
+
+    def add(key: tuple, table: pa.Table) -> pa.Table:
+        total = V.matrix(table.column("total")).sum(axis=0)
+        row = dict(zip(keys, (k.as_py() for k in key)))
+        row |= {"n": sum(table.column("n").to_pylist()), "total": total.tolist()}
+        return pa.Table.from_pylist([row], schema=schema)
+
+    return add
 
 
 def pack(
@@ -107,6 +116,7 @@ def pack(
     """A small table of vectors as ``(keys + _index, broadcast unit matrix)``.
 
     None when the vectors exceed ``max_bytes``; at most that much is fetched.
+    Callers that can't do without take :func:`ordered_blocks`.
     """
     spark = table.sparkSession
     head = table.select(vector).limit(1).collect()
@@ -126,6 +136,29 @@ def pack(
     return spark.createDataFrame(keys, schema=schema), spark.sparkContext.broadcast(values)
 
 
+def ordered_blocks(
+    cents: DataFrame, label: str, max_bytes: int = BROADCAST_BYTES
+) -> list[tuple[DataFrame, Broadcast]]:
+    """The centroids in label order, packed in blocks of at most ``max_bytes`` (one vector at least)."""
+    sizes = cents.select(F.size("centroid")).limit(1).collect()
+    names = sorted(r[0] for r in cents.select(label).collect())
+    step = max(1, max_bytes // (8 * max(sizes[0][0] if sizes else 1, 1)))
+    bounds = [(names[i], names[min(i + step, len(names)) - 1]) for i in range(0, len(names), step)]
+    return [pack(cents.filter(F.col(label).between(a, b)), (label,), "centroid", max_bytes) for a, b in bounds]
+
+
+def class_scores(
+    vectors: DataFrame,
+    cents: DataFrame,
+    label: str = "label",
+    vector: str = "embedding",
+    max_bytes: int = BROADCAST_BYTES,
+) -> Column:
+    """Cosines of a row's vector to all centroids, one array in label order."""
+    parts = [V.similarities(F.col(vector), block) for _, block in ordered_blocks(cut(cents), label, max_bytes)]
+    return F.concat(*parts) if parts else F.array().cast("array<double>")
+
+
 # -- D6 ----------------------------------------------------------------------
 
 
@@ -275,28 +308,16 @@ def mislabeled(
 ) -> DataFrame:
     """``(label, item, own_distance, nearest_label, nearest_distance, suspected)``.
 
-    Centroids travel in broadcast blocks of about ``max_bytes``. One block is a
-    map-only pass; several blocks are scanned one by one and their minima
-    merged per item. Fewer than two labels give no rows.
+    Centroids travel in broadcast blocks of at most ``max_bytes``, in label
+    order. One block is a map-only pass; several blocks are scanned one by one
+    and their minima merged per item. Fewer than two labels give no rows.
     """
     cents = cut(centroids(vectors, (label,), vector)) if cents is None else cents
-    first = cents.select(F.size("centroid")).limit(1).collect()
-    n_labels = cents.count()
-    dim = first[0][0] if first else 1
     present = vectors.filter(F.col(vector).isNotNull())
-    n_blocks = max(1, -(-n_labels * dim * 8 // max_bytes))
-    if n_labels < 2:
-        present, n_blocks = present.filter(F.lit(False)), 1
-    found = []
-    for block in range(n_blocks):
-        part = cents if n_blocks == 1 else cents.filter(
-            F.pmod(F.xxhash64(label), F.lit(n_blocks)) == block
-        )
-        packed = pack(part, (label,), "centroid", 2 * max_bytes)
-        if packed is None:
-            raise ValueError("uneven centroid blocks; raise max_bytes")
-        if n_blocks == 1 or len(packed[1].value):
-            found.append(_nearest_in_block(present, *packed, label, item, vector))
+    if cents.count() < 2:
+        present = present.filter(F.lit(False))
+    blocks = ordered_blocks(cents, label, max_bytes) or [pack(cents, (label,), "centroid")]
+    found = [_nearest_in_block(present, *block, label, item, vector) for block in blocks]
     best = found[0]
     for other in found[1:]:
         best = best.unionByName(other)
@@ -346,7 +367,9 @@ def mislabel_summary(found: DataFrame, label: str = "label") -> DataFrame:
     per_label = (
         found.filter("suspected").groupBy(label).agg(F.count(F.lit(1)).alias("suspected_count"))
     )
-    return per_label.rollup(label).agg(F.sum("suspected_count").alias("suspected_count"))
+    none = F.lit(None).cast(found.schema[label].dataType).alias(label)
+    total = per_label.agg(F.coalesce(F.sum("suspected_count"), F.lit(0)).alias("suspected_count"))
+    return per_label.unionByName(total.select(none, "suspected_count"))
 
 
 # -- D7 / D8 -----------------------------------------------------------------
@@ -625,7 +648,7 @@ def near_duplicates(
 
 def encode(
     items: DataFrame,
-    encoder: Callable[[pd.Series], np.ndarray],
+    encoder: Callable[..., np.ndarray],
     payload: str,
     keys: Sequence[str] = ("label", "item_id"),
     batch_size: int = 64,
@@ -634,19 +657,19 @@ def encode(
     """Run a caller-supplied encoder over the payload column in batches.
 
     ``encoder`` maps a Series of up to ``batch_size`` payloads to a (rows, dim)
-    array, row for row; ``setup`` runs once per task (loading a model).
+    array, row for row. ``setup`` runs once per task (loading a model); what it
+    returns is handed to the encoder before the payloads.
     """
     out = T.StructType(
         [*[items.schema[c] for c in keys], T.StructField("embedding", T.ArrayType(T.FloatType()))]
     )
 
     def mapper(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        if setup is not None:
-            setup()
+        state = () if setup is None else (setup(),)
         for frame in frames:
             for start in range(0, len(frame), batch_size):
                 part = frame.iloc[start : start + batch_size]
-                values = np.asarray(encoder(part[payload]), dtype=np.float32)
+                values = np.asarray(encoder(*state, part[payload]), dtype=np.float32)
                 if len(values) != len(part):
                     raise ValueError("the encoder must return one vector per payload")
                 yield part[list(keys)].assign(embedding=list(values))

@@ -10,8 +10,10 @@ task. The three forms here bound what a single task receives:
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
@@ -22,6 +24,28 @@ from corpusmill.plans.sizing import join_small, small_table
 
 SALTS = 64
 BUCKET_ROWS = 200_000
+RANGE_ROWS = 2_000_000
+ENGINE_LIMIT = "spark.sql.optimizer.windowGroupLimitThreshold"
+
+
+def _first_of_partitions(df: DataFrame, group: Sequence[str], order: Sequence[Column], n: int) -> DataFrame:
+    """At most n rows of a group from every partition, without a shuffle: a local sort and one pass."""
+
+    def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, seen = None, 0
+        for batch in batches:
+            if batch.num_rows == 0:
+                continue
+            keys = list(zip(*[batch.column(c).to_pylist() for c in group]))
+            starts = np.array([keys[0] != last, *[a != b for a, b in zip(keys, keys[1:])]])
+            at = np.arange(len(keys))
+            begin = np.maximum.accumulate(np.where(starts, at, -1))
+            place = np.where(begin < 0, at + seen, at - begin)
+            last, seen = keys[-1], int(place[-1]) + 1
+            yield batch.filter(pa.array(place < n))
+
+    ordered = df.sortWithinPartitions(*[F.col(c) for c in group], *order)
+    return ordered.mapInArrow(first, df.schema)
 
 
 def top_n(
@@ -35,8 +59,9 @@ def top_n(
 ) -> DataFrame:
     """First ``n`` rows per group by a total order, with their rank.
 
-    Every input partition keeps at most n rows of a group before any shuffle
-    (Spark's window group limit). The partitions are then merged in two steps,
+    Every input partition keeps at most n rows of a group before any shuffle:
+    by Spark's window group limit as far as its threshold goes, beyond it by a
+    sorted pass that counts. The partitions are then merged in two steps,
     first ``salts`` ways, so the last task of a group receives at most
     ``salts * n`` rows however many partitions held it. ``quota`` names a
     column holding a smaller per-row limit; ``n`` must bound it.
@@ -44,6 +69,8 @@ def top_n(
     keep = F.col(rank) <= n
     if quota is not None:
         keep = keep & (F.col(rank) <= F.col(quota))
+    if n > int(df.sparkSession.conf.get(ENGINE_LIMIT, "1000")):
+        df = _first_of_partitions(df, group, order, n)
     salted = df.withColumn("_salt", F.spark_partition_id() % salts)
     first = W.partitionBy(*group, "_salt").orderBy(*order)
     part = salted.withColumn(rank, F.row_number().over(first)).filter(keep).drop(rank, "_salt")
@@ -102,14 +129,16 @@ def range_rank(
 ) -> DataFrame:
     """Rank (from 1) by a total order, through sampled range partitions.
 
-    Range partitioning splits a dominant group over many partitions. The
+    Range partitioning splits a dominant group over many partitions, of about
+    ``RANGE_ROWS`` rows where the session's number would give larger ones. The
     partitions are written once, because their sampled bounds must not change
     between counting and ranking. An empty ``group`` ranks the whole table.
     """
     keys = list(group) or ["_all"]
     base = df if group else df.withColumn("_all", F.lit(0))
+    parts = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-df.count() // RANGE_ROWS))
     ranged = cut(
-        base.repartitionByRange(*[F.col(c) for c in keys], *order).withColumn(
+        base.repartitionByRange(parts, *[F.col(c) for c in keys], *order).withColumn(
             "_part", F.spark_partition_id()
         )
     )

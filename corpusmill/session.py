@@ -6,8 +6,35 @@ library depends on these settings except the UTC time zone.
 
 from __future__ import annotations
 
+import os
+import tempfile
+import zipfile
+
 from pyspark.sql import SparkSession
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send the package to the executors, once per application.
+
+    Tasks import it by name; without this only executors that find it on their
+    own path could run the Arrow passes.
+    """
+    context = spark.sparkContext
+    if context.applicationId in _SHIPPED:
+        return
+    top = os.path.dirname(os.path.abspath(__file__))
+    target = os.path.join(tempfile.mkdtemp(prefix="corpusmill-"), "corpusmill.zip")
+    with zipfile.ZipFile(target, "w") as archive:
+        for folder, _, names in os.walk(top):
+            for name in names:
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    archive.write(path, os.path.join("corpusmill", os.path.relpath(path, top)))
+    context.addPyFile(target)
+    _SHIPPED.add(context.applicationId)
+
 
 def get_session(
     master: str = "local[8]",

@@ -50,10 +50,11 @@ def write_annotations(
     per_object: int = ENTRIES_PER_OBJECT,
     mode: str = "errorifexists",
 ) -> None:
-    """JSON objects under ``key=value`` folders, one object per line.
+    """JSON objects under ``key=value`` folders, the last key being ``part``.
 
-    A label beyond ``per_object`` entries is written as several objects, so no
-    task gathers a whole label.
+    Every label is cut into parts of about ``per_object`` entries, a small one
+    into part 0 alone, so the layout is the same at every size and no task
+    gathers a whole label.
     """
     keys = list(keys)
     shards = annotations.groupBy(*keys).agg(
@@ -67,17 +68,18 @@ def write_annotations(
     )
     objects = (
         join_small(annotations, shards, keys)
-        .withColumn("_shard", F.pmod(F.xxhash64("name"), F.col("_shards")))
-        .groupBy(*keys, "_shard")
+        .withColumn("part", F.pmod(F.xxhash64("name"), F.col("_shards")))
+        .groupBy(*keys, "part")
         .agg(F.map_from_entries(F.collect_list(F.struct(F.col("name"), entry.alias("e")))).alias("_m"))
     )
-    objects.select(*keys, F.to_json("_m").alias("value")).write.mode(mode).partitionBy(*keys).text(path)
+    rows = objects.select(*keys, "part", F.to_json("_m", {"ignoreNullFields": "false"}).alias("value"))
+    rows.write.mode(mode).partitionBy(*keys, "part").text(path)
 
 
 def read_written_annotations(spark: SparkSession, path: str) -> DataFrame:
     """Rows of what :func:`write_annotations` wrote, keys from the folder names."""
     objects = spark.read.text(path)
-    return _rows(objects, [c for c in objects.columns if c != "value"])
+    return _rows(objects, [c for c in objects.columns if c not in ("value", "part")])
 
 
 def write_missing(annotations: DataFrame, path: str, mode: str = "errorifexists") -> None:

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 from corpusmill.plans.ranking import range_rank
+from corpusmill.plans.running import running
 
 # The single category of the export.
 CATEGORY = (1, "bird", "animal")
@@ -15,15 +17,20 @@ def coco_export(items: DataFrame, detections: DataFrame) -> tuple[DataFrame, Dat
     """(images, annotations, categories), numbered from 1 inside each label.
 
     Images are numbered by file name, annotations by image and detection order;
-    images without detections are listed, unreadable ones as 0 x 0.
+    images without detections are listed, unreadable ones as 0 x 0. Only images
+    are ranked: an annotation's number is its place inside its image after the
+    detections of all earlier images, a running sum over the image numbers.
     """
     images = range_rank(
         items.select("label", "name", "width", "height"), ["label"], [F.col("name")], "id"
     )
-    placed = detections.select("label", "name", "det_idx", "bbox", "score").join(
-        images.select("label", "name", F.col("id").alias("image_id")), ["label", "name"]
-    )
-    numbered = range_rank(placed, ["label"], [F.col("image_id"), F.col("det_idx")], "id")
+    found = detections.groupBy("label", "name").agg(F.count(F.lit(1)).alias("_n"))
+    counted = images.select("label", "name", F.col("id").alias("image_id")).join(found, ["label", "name"])
+    earlier = running(counted, ["label"], "image_id", {"_before": ("sum", F.col("_n"), False)})
+    inside = W.partitionBy("label", "name").orderBy("det_idx")
+    numbered = detections.select("label", "name", "det_idx", "bbox", "score").join(
+        earlier.select("label", "name", "image_id", "_before"), ["label", "name"]
+    ).withColumn("id", (F.coalesce("_before", F.lit(0)) + F.row_number().over(inside)).cast("bigint"))
     annotations = numbered.select(
         "label",
         "id",

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusmill.plans.sizing import small_table
+from corpusmill.sources.documents import write_document
 
 META_FIELDS = ("scientific_name", "family", "english_name", "french_name")
 
@@ -15,23 +15,12 @@ def _document(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return text.select(F.explode(F.from_json("value", schema)).alias("label", "_v"))
 
 
-def _write_document(rows: DataFrame, value, path: str, mode: str) -> None:
-    """One JSON object; refused when the label table is too large for one."""
-    local, fits = small_table(rows)
-    if not fits:
-        raise ValueError("too many labels for one JSON object; write the table instead")
-    entries = F.array_sort(F.collect_list(F.struct("label", value.alias("v"))))
-    local.agg(F.to_json(F.map_from_entries(entries), {"ignoreNullFields": "false"}).alias("value")).write.mode(
-        mode
-    ).text(path)
-
-
 def read_label_map(spark: SparkSession, path: str) -> DataFrame:
     return _document(spark, path, "map<string,int>").select("label", F.col("_v").alias("idx"))
 
 
 def write_label_map(label_map: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    _write_document(label_map.select("label", "idx"), F.col("idx"), path, mode)
+    write_document(label_map.select("label", "idx"), F.col("idx"), path, mode)
 
 
 def read_label_metadata(spark: SparkSession, path: str) -> DataFrame:
@@ -44,4 +33,4 @@ def read_label_metadata(spark: SparkSession, path: str) -> DataFrame:
 def write_label_metadata(meta: DataFrame, path: str, mode: str = "errorifexists") -> None:
     rows = meta.select("label", *META_FIELDS)
     value = F.struct(F.col("label").alias("slug"), *META_FIELDS)
-    _write_document(rows, value, path, mode)
+    write_document(rows, value, path, mode)

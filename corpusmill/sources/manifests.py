@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import datetime
+import json
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
+
+from corpusmill.sources.documents import write_document
 
 PHOTOS = "array<struct<source:string,photo_id:bigint,extension:string>>"
 ROW = (
@@ -45,10 +48,27 @@ def read_manifest_document(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def write_manifest_document(manifest: DataFrame, path: str, target: int, mode: str = "errorifexists") -> None:
+    """The manifest as one nested JSON object, which :func:`read_manifest_document` reads."""
+    name = F.col("scientific_name") if "scientific_name" in manifest.columns else F.lit(None).cast("string")
+    photos = F.transform("photos", lambda p: F.struct(p["photo_id"], p["extension"], p["source"]))
+    value = F.struct(
+        name.alias("scientific_name"), "existing", "needed", F.col("found_primary").alias("found_europe"),
+        F.col("found_fallback").alias("found_worldwide"), photos.alias("photos"),
+    )
+    created = datetime.datetime.now(datetime.UTC).isoformat(timespec="seconds")
+    head = json.dumps({"created": created, "target": target})[:-1] + ', "species": {'
+    write_document(manifest, value, path, mode, head, "}}")
+
+
+def finished(spark: SparkSession, path: str) -> bool:
+    """Whether a Spark write to ``path`` came to its end."""
+    done = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+    return done.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(done)
+
+
 def plan_or_resume(spark: SparkSession, path: str, plan: Callable[[], DataFrame], target: int) -> DataFrame:
-    """The manifest at ``path`` if there is one, else a new plan, written first."""
-    try:
-        return read_manifest(spark, path)
-    except AnalysisException:
-        write_manifest(plan(), path, target)
-        return read_manifest(spark, path)
+    """The manifest at ``path`` if one was written to its end, else a new plan, written first."""
+    if not finished(spark, path):
+        write_manifest(plan(), path, target, "overwrite")
+    return read_manifest(spark, path)

@@ -57,8 +57,9 @@ def nested_report(
 ) -> DataFrame:
     """``(label, part, summary, images, outliers, duplicates)`` objects.
 
-    A label larger than ``per_object`` items is cut into parts; each carries
-    the label's summary.
+    Every label is cut into parts of about ``per_object`` items, a small one
+    into part 0 alone; each part carries the label's summary. The layout is the
+    same at every size.
     """
     sizes = summary.select("label", F.ceil(F.col("total") / per_object).cast("int").alias("_parts"))
     counts = [c for c in summary.columns if c != "label"]

@@ -36,6 +36,8 @@ def stream_report(
     labels and are left to the batch report.
     """
 
+    prototypes = prototypes.sparkSession.createDataFrame(prototypes.toArrow(), prototypes.schema)  # one per category
+
     def write(batch: DataFrame, batch_id: int) -> None:
         rows = zero_shot(batch, prototypes, CATEGORIES, margin=margin).drop("embedding")
         rows = enrich(rows) if enrich else rows

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from corpusmill.functions.vectors import similarities
 from corpusmill.operators import evaluation as O
 from corpusmill.operators import vectors as VO
 from corpusmill.plans.ranking import range_rank
@@ -16,9 +15,8 @@ SCALE = 10.0
 
 def logits(spark, sf_dir):
     vecs = VW.vectors(spark, sf_dir)
-    _, packed = VO.pack(VO.centroids(vecs), ("label",), "centroid")
     return vecs.select(
-        "item_id", F.col("label").alias("label_idx"), similarities(F.col("embedding"), packed).alias("_s")
+        "item_id", F.col("label").alias("label_idx"), VO.class_scores(vecs, VO.centroids(vecs)).alias("_s")
     ).select("item_id", "label_idx", F.transform("_s", lambda x: x * SCALE).alias("logits"))
 
 
@@ -61,32 +59,36 @@ def confusion_table(spark, sf_dir):
 
 
 def loss_outliers(spark, sf_dir):
-    losses = O.item_losses(logits(spark, sf_dir))
     named = O.with_class_names(
-        O.loss_outliers(losses, 1.5), _label_map(spark, sf_dir),
+        O.item_losses(logits(spark, sf_dir)), _label_map(spark, sf_dir),
         {"truth": "label_name", "pred": "predicted_name"},
     )
-    return named.withColumns({"loss": F.round("loss", 6), "confidence": F.round("confidence", 6)})
+    return O.loss_outliers(named, 1.5).withColumns({"loss": F.round("loss", 6), "confidence": F.round("confidence", 6)})
 
 
 def loss_summary(spark, sf_dir):
     row = O.loss_summary(O.item_losses(logits(spark, sf_dir)))
-    return row.select("total_items", *[F.round(c, 6).alias(c) for c in ("mean_loss", "std_loss", "threshold")])
+    return row.select("total_items", "sigma_k", "problematic_count", *[F.round(c, 6).alias(c) for c in ("mean_loss", "std_loss", "threshold")])
 
 
 def top_classes(spark, sf_dir):
-    return O.top_k(logits(spark, sf_dir), _full_map(spark, sf_dir), _meta(spark, sf_dir)).withColumn(
+    return O.top_k(logits(spark, sf_dir), _label_map(spark, sf_dir), _meta(spark, sf_dir)).withColumn(
         "probability", F.round("probability", 6)
     )
 
 
 def frame_carry_forward(spark, sf_dir):
-    """Events of a user are the frames of a source, in time order."""
+    """Events of a user are the frames of a source, in time order; weak ones were dropped on the way.
+
+    A click is a frame in which nothing was recognised.
+    """
     frames = range_rank(
-        table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type"),
+        table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value"),
         ["user_id"], [F.col("ts"), F.col("event_id")],
-    ).select("event_id", F.col("user_id").alias("source"), (F.col("rn") - 1).alias("frame"),
-             F.col("event_type").alias("prediction"))
+    ).filter("value >= 20").select(
+        "event_id", F.col("user_id").alias("source"), (F.col("rn") - 1).alias("frame"),
+        F.when(F.col("event_type") != "click", F.col("event_type")).alias("prediction"),
+    )
     return O.decimate_and_fill(frames).select("event_id", "source", "frame", "shown", "predicted")
 
 
@@ -185,17 +187,20 @@ ORACLES = {
       FROM ev LEFT JOIN lmap a ON a.idx = truth LEFT JOIN lmap b ON b.idx = pred""",
     "loss_summary": f"""WITH {LOGITS_SQL}
       SELECT count(*) AS total_items, round(avg(loss), 6) AS mean_loss, round(stddev_pop(loss), 6) AS std_loss,
-             round(avg(loss) + 3 * stddev_pop(loss), 6) AS threshold FROM ev""",
+             round(avg(loss) + 3 * stddev_pop(loss), 6) AS threshold, 3::DOUBLE AS sigma_k,
+             count(*) FILTER (WHERE loss > (SELECT avg(loss) + 3 * stddev_pop(loss) FROM ev)) AS problematic_count FROM ev""",
     "top_classes": f"""WITH {LOGITS_SQL},
       t AS (SELECT item_id, k, p, row_number() OVER (PARTITION BY item_id ORDER BY p DESC, k) AS rk FROM sm)
-      SELECT item_id, CAST(rk AS INTEGER) AS rank, k AS idx, n_name AS label,
-             CASE WHEN n_regionkey < 3 THEN 'nom ' || n_nationkey ELSE n_name END AS display_name, round(p, 6) AS probability,
+      SELECT item_id, CAST(rk AS INTEGER) AS rank, k AS idx, coalesce(n_name, 'class_' || k) AS label,
+             CASE WHEN n_regionkey < 3 THEN 'nom ' || n_nationkey ELSE coalesce(n_name, 'class_' || k) END AS display_name, round(p, 6) AS probability,
              CASE WHEN rk = 1 AND p * 100 > 60 THEN 'high' WHEN rk = 1 AND p * 100 > 30 THEN 'medium' ELSE 'low' END AS band
-      FROM t JOIN nation ON n_nationkey = k WHERE rk <= 5""",
-    "frame_carry_forward": """WITH f AS (SELECT event_id, user_id AS source, event_type,
+      FROM t LEFT JOIN nation ON n_nationkey = k AND n_nationkey < 8 WHERE rk <= 5""",
+    "frame_carry_forward": """WITH f AS (SELECT event_id, user_id AS source, event_type, value,
         row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) - 1 AS frame FROM events)
       SELECT event_id, source, frame, frame % 3 = 0 AS predicted,
-             last_value(CASE WHEN frame % 3 = 0 THEN event_type END IGNORE NULLS) OVER (PARTITION BY source ORDER BY frame) AS shown FROM f""",
+             last_value(CASE WHEN frame % 3 = 0 AND event_type <> 'click' THEN event_type END IGNORE NULLS)
+               OVER (PARTITION BY source ORDER BY frame) AS shown
+      FROM f WHERE value >= 20""",
     "model_comparison": f"""WITH {LOGITS_SQL},
       b AS (SELECT item_id, arg_max(k, z) AS a, arg_max(k, z + k * 0.1) AS b FROM lg GROUP BY item_id)
       SELECT item_id, x.n_name AS plain, y.n_name AS tilted, a = b AS agree

@@ -7,7 +7,6 @@ import uuid
 from pyspark.sql import functions as F
 
 from corpusmill.functions.constants import CATEGORIES
-from corpusmill.functions.vectors import similarities
 from corpusmill.operators import vectors as VO
 from corpusmill.plans.lineage import ensure_checkpoint_dir
 from corpusmill.streaming.incremental import stream_report, vector_stream
@@ -39,14 +38,13 @@ def streamed_categories(spark, sf_dir):
 
 def streamed_top_classes(spark, sf_dir):
     folder = _folder(spark)
-    _, packed = VO.pack(VO.centroids(VW.vectors(spark, sf_dir)), ("label",), "centroid")
+    stream = _stream(spark, sf_dir)
     logits = (
-        _stream(spark, sf_dir)
-        .select("item_id", similarities(F.col("embedding"), packed).alias("_s"))
+        stream.select("item_id", VO.class_scores(stream, VO.centroids(VW.vectors(spark, sf_dir))).alias("_s"))
         .select("item_id", F.transform("_s", lambda x: x * EW.SCALE).alias("logits"))
     )
     rows = stream_top_k(
-        logits, EW._full_map(spark, sf_dir), f"{folder}/decoded", f"{folder}/state", EW._meta(spark, sf_dir)
+        logits, EW._label_map(spark, sf_dir), f"{folder}/decoded", f"{folder}/state", EW._meta(spark, sf_dir)
     )
     return rows.withColumn("probability", F.round("probability", 6))
 

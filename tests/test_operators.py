@@ -108,34 +108,21 @@ def test_review_pages(spark):
 # -- splits ----------------------------------------------------------------------
 
 
-def dataset_rule(n):
-    val, test = max(1, round(n * 0.1)), max(1, round(n * (1 - 0.8 - 0.1)))
-    if n - val - test < 1:
-        val = max(1, (n - 1) // 2)
-        test = max(1, n - 1 - val)
-    return val, test
+# (train, validation, test) expected for a label of each size.
+SPLITS = {
+    "dataset": {1: (0, 1, 0), 2: (0, 1, 1), 3: (1, 1, 1), 4: (2, 1, 1), 5: (3, 1, 1), 10: (8, 1, 1), 15: (12, 2, 1), 20: (16, 2, 2), 25: (21, 2, 2), 50: (40, 5, 5), 100: (80, 10, 10)},
+    "merge": {1: (1, 0, 0), 2: (1, 1, 0), 3: (1, 1, 1), 4: (2, 1, 1), 5: (3, 1, 1), 10: (8, 1, 1), 15: (12, 2, 1), 20: (16, 2, 2), 25: (21, 2, 2), 50: (40, 5, 5), 100: (80, 10, 10)},
+    "samples": {1: (1, 0, 0), 2: (2, 0, 0), 3: (2, 1, 0), 4: (3, 1, 0), 5: (4, 1, 0), 10: (8, 1, 1), 15: (12, 2, 1), 20: (16, 2, 2), 25: (20, 2, 3), 50: (40, 5, 5), 100: (80, 10, 10)},
+}
 
 
-@pytest.mark.parametrize("rule", ["dataset", "merge", "samples"])
+@pytest.mark.parametrize("rule", list(SPLITS))
 def test_split_sizes_per_rule(spark, rule):
-    sizes = {f"n{n:03d}": n for n in (1, 2, 3, 4, 5, 10, 15, 20, 25, 50, 100)}
-    got = {r["label"]: (r["train"], r["validation"], r["test"])
-           for r in splits.split_sizes(splits.assign_splits(numbered(spark, sizes), rule)).collect()}
-    for label, n in sizes.items():
-        if rule == "dataset":
-            val, test = dataset_rule(n)
-            val = min(val, n)
-            test = min(test, n - val)
-            want = (n - val - test, val, test)
-        elif rule == "merge":
-            val, test = (0, 0) if n == 1 else (1, 0) if n == 2 else dataset_rule(n)
-            want = (n - val - test, val, test)
-        else:
-            train, val = max(1, round(n * 0.8)), max(0 if n < 2 else 1, round(n * 0.1))
-            if train + val > n:
-                val = max(0, n - train)
-            want = (train, val, n - train - val)
-        assert got[label] == want, (rule, n)
+    want = SPLITS[rule]
+    items = numbered(spark, {f"n{n:03d}": n for n in want})
+    got = {int(r["label"][1:]): (r["train"], r["validation"], r["test"])
+           for r in splits.split_sizes(splits.assign_splits(items, rule)).collect()}
+    assert got == want
 
 
 def test_split_is_disjoint_complete_and_stable(spark):
@@ -215,23 +202,20 @@ def test_carry_forward(spark):
     assert got == ["p0"] * 3 + ["p3"] * 3 + ["p6"]
 
 
-def stop_by_loop(values, patience):
-    best, best_epoch, counter = float("inf"), 0, 0
-    for epoch, value in enumerate(values):
-        if value < best:
-            best, best_epoch, counter = value, epoch, 0
-        else:
-            counter += 1
-            if counter >= patience:
-                return epoch, best_epoch
-    return None, best_epoch
+# Losses per epoch, and the (stopping, best) epochs expected with a patience of three.
+STOPS = {
+    "a": ([5, 4, 4, 4, 3, 3, 3, 3, 1], 7, 4),
+    "b": ([3, 2, 1], None, 2),
+    "c": ([1, 1, 1, 1, 0], 3, 0),
+    "d": ([2, 3, 1, 2, 2, 2], 5, 2),
+}
 
 
-def test_early_stop_equals_loop(spark):
-    runs = {"a": [5, 4, 4, 4, 3, 3, 3, 3, 1], "b": [3, 2, 1], "c": [1, 1, 1, 1, 0], "d": [2, 3, 1, 2, 2, 2]}
-    df = spark.createDataFrame([(r, e, float(v)) for r, vs in runs.items() for e, v in enumerate(vs)], "run string, epoch int, val_loss double")
+def test_early_stop(spark):
+    data = [(r, e, float(v)) for r, (losses, _, _) in STOPS.items() for e, v in enumerate(losses)]
+    df = spark.createDataFrame(data, "run string, epoch int, val_loss double")
     got = {r["run"]: (r["stop_epoch"], r["best_epoch"]) for r in evaluation.early_stop(df, 3).collect()}
-    assert got == {r: stop_by_loop(v, 3) for r, v in runs.items()}
+    assert got == {r: (stop, best) for r, (_, stop, best) in STOPS.items()}
 
 
 def test_checkpoints_and_comparison(spark):
@@ -239,8 +223,8 @@ def test_checkpoints_and_comparison(spark):
     got = evaluation.best_checkpoint(ck, last_runs=2)
     assert rows(got.select("run", "path")) == [("2", "r"), ("3", "s")]
     assert rows(evaluation.best_checkpoint(ck).filter("run = '1'").select("path", "display")) == [("q", "ViT-B/16")]
-    with pytest.raises(ValueError):
-        evaluation.compare_models(ck, list("abcde"))
+    many = spark.createDataFrame([("1", m, "x") for m in "abcdef"], "item_id string, model string, label string")
+    assert rows(evaluation.compare_models(many, list("abcdef")).select("f", "agree")) == [("x", True)]
 
 
 # -- boxes -----------------------------------------------------------------------
