@@ -7,6 +7,7 @@ from corpusmill.workloads import (
     calibration,
     catalog,
     evaluation,
+    roundtrips,
     splits,
     streams,
     trainset,
@@ -14,7 +15,7 @@ from corpusmill.workloads import (
     verdict,
 )
 
-MODULES = (vectors, catalog, boxes, verdict, calibration, splits, trainset, evaluation, streams)
+MODULES = (vectors, catalog, boxes, verdict, calibration, splits, trainset, evaluation, streams, roundtrips)
 
 
 def all_queries() -> dict:

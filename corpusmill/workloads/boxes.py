@@ -226,13 +226,8 @@ def _best_sql(name: str, ratio: float) -> str:
 
 
 def _exact_round(column: str, digits: int) -> str:
-    """Half-even rounding by the exact binary value, as the score operator does it."""
-    s = f"{10**digits}.0::DOUBLE"
-    high = f"({column} * 134217729 - ({column} * 134217729 - {column}))"
-    error = f"(({high} * {s} - {column} * {s}) + ({column} - {high}) * {s})"
-    p = f"({column} * {s})"
-    return f"""(CASE WHEN {p} - floor({p}) <> 0.5 THEN round_even({p}, 0) WHEN {error} > 0 THEN ceil({p})
-      WHEN {error} < 0 THEN floor({p}) ELSE round_even({p}, 0) END / {s})"""
+    """Half-even rounding of the exact binary value by the formatter, not by the operator's arithmetic."""
+    return f"CAST(format('{{:.{digits}f}}', {column}) AS DOUBLE)"
 
 
 ANN_SQL = f"{IMAGES_SQL}, {_best_sql('ann', 0.05)}"

@@ -48,8 +48,8 @@ def observations(spark, sf_dir):
         "1000 + o_custkey % 100 AS taxon_id",
         "o_custkey AS observer_id",
         "CAST(o_orderdate AS DATE) AS observed_on",
-        f"CAST(30 + {cents} % 45 AS DOUBLE) AS latitude",
-        f"CAST(-30 + ({cents} div 45) % 80 AS DOUBLE) AS longitude",
+        f"30 + {cents} % 45 + ({cents} % 4) / 1000.0D AS latitude",
+        f"-30 + ({cents} div 45) % 80 + ({cents} % 3) / 1000.0D AS longitude",
         "CASE WHEN o_orderstatus = 'P' THEN 'needs_id' ELSE 'research' END AS quality_grade",
     )
 
@@ -239,8 +239,8 @@ species AS (SELECT 1000 + s_suppkey AS taxon_id, replace(s_name, '#', ' ') AS na
 OBS_SQL = """
 obs AS (SELECT o_orderkey, 1000 + o_custkey % 100 AS taxon_id, o_custkey AS observer_id,
                CAST(o_orderdate AS DATE) AS observed_on,
-               CAST(30 + CAST(round(o_totalprice * 100) AS BIGINT) % 45 AS DOUBLE) AS latitude,
-               CAST(-30 + (CAST(round(o_totalprice * 100) AS BIGINT) // 45) % 80 AS DOUBLE) AS longitude
+               30 + CAST(round(o_totalprice * 100) AS BIGINT) % 45 + (CAST(round(o_totalprice * 100) AS BIGINT) % 4) / 1000.0::DOUBLE AS latitude,
+               -30 + (CAST(round(o_totalprice * 100) AS BIGINT) // 45) % 80 + (CAST(round(o_totalprice * 100) AS BIGINT) % 3) / 1000.0::DOUBLE AS longitude
         FROM orders WHERE o_orderstatus <> 'P'),
 pho AS (SELECT ((l_orderkey * 8 + l_linenumber) * 100000 + l_partkey) * 10000 + l_suppkey AS photo_id, l_orderkey,
                CASE WHEN l_linestatus = 'O' THEN 'jpg' ELSE 'JPG' END AS extension, l_linenumber - 1 AS position
