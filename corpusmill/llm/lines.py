@@ -12,10 +12,10 @@ probes with the substrings at which the shorter one's segments can lie. Pairs
 that meet are verified by banded bit-parallel edit distance on the part outside
 the common segment: one word of 2k+1 diagonals per number of errors.
 
-The segment in doubt is halved again for index entries with many lines, round
-by round, until few lines are left in an entry or the doubt is a single
-character; lines that agree but for one character are all linked to the
-smallest. So no entry, however large, is paired with itself, no link is lost,
+The segment in doubt is halved again, round by round, until it is short and
+few lines are left in an entry, or it is a single character; lines that agree
+but for one character are all linked to the smallest. Most pairs that are
+further apart part company on the way, and what is verified is short. So no entry, however large, is paired with itself, no link is lost,
 and the rows of a round are in proportion to its lines.
 
 Defined results: a null text stays null, an empty one empty; rows that repeat
@@ -34,6 +34,7 @@ from corpusmill.llm.tables import sized, stored
 
 MIN_CHARS = 20
 CROWDED = 24
+SHORT = 16
 
 
 def _occurrences(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -197,10 +198,11 @@ def edit_links(lines: DataFrame, crowded: int = CROWDED) -> DataFrame:
     links = None
     while True:
         single = F.col("high") - F.col("low") <= 1
-        now = rows.filter((F.col("n") <= crowded) & ~single)
+        small = (F.col("n") <= crowded) & (F.col("high") - F.col("low") <= SHORT)
+        now = rows.filter(small & ~single)
         found = _verified(now).unionAll(_one_character(rows.filter(single)))
         links = found if links is None else links.unionAll(found)
-        many = rows.filter((F.col("n") > crowded) & ~single)
+        many = rows.filter(~small & ~single)
         if many.isEmpty():
             return links
         rows = stored(_met(_halved(many)), "lines-halved")
