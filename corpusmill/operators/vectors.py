@@ -381,21 +381,31 @@ def split_copies(
     item: str = "item_id",
     vector: str = "embedding",
     score: str | None = None,
+    scores: DataFrame | None = None,
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Separate bit-identical vectors: ``(distinct rows, copies, sizes)``.
 
+    The pairs of all vectors follow from those of the distinct ones and the
+    copies: a copy has the pairs of its representative, and copies of one set
+    are pairs of similarity 1.
+
     Each set of copies is represented by its best item (highest ``score``,
     then smallest id). ``copies`` lists the others as ``(*group, kept, removed)``,
     ``sizes`` the number ``n`` of distinct vectors per group. Sets are found on
     a 128-bit hash with map-side aggregation, so a set that holds a third of
     the rows costs one row per partition; the narrow sets are written once.
+    ``score`` is a column of ``scores``, joined to the narrow hashes only, or
+    of the vectors themselves.
     """
-    value = F.coalesce(F.col(score), F.lit(0.0)) if score else F.lit(0.0)
     hashed = vectors.filter(F.col(vector).isNotNull()).withColumns(
-        {"_h1": F.xxhash64(vector), "_h2": F.xxhash64(F.reverse(vector)), "_score": value}
+        {"_h1": F.xxhash64(vector), "_h2": F.xxhash64(F.reverse(vector))}
     )
+    narrow = hashed.drop(vector)
+    if scores is not None:
+        narrow = narrow.join(scores.select(*group, item, score), [*group, item], "left")
+    value = F.coalesce(F.col(score), F.lit(0.0)) if score else F.lit(0.0)
     every = cut(
-        hashed.groupBy(*group, "_h1", "_h2").agg(
+        narrow.withColumn("_score", value).groupBy(*group, "_h1", "_h2").agg(
             F.count(F.lit(1)).alias("_copies"),
             F.min(F.struct((-F.col("_score")).alias("s"), F.col(item).alias("i"))).alias("_best"),
         )
@@ -522,7 +532,7 @@ def _greedy_rounds(pairs: DataFrame, group: Sequence[str]) -> DataFrame:
     order = F.struct("_neg", "item_a", "item_b")
     edges = cut(pairs.withColumn("_order", order))
     open_edges = edges
-    gone: DataFrame | None = None
+    rounds: list[DataFrame] = []
     while not open_edges.isEmpty():
         ends = open_edges.select(
             *group, "_order", F.explode(F.array("item_a", "item_b")).alias("_end")
@@ -536,15 +546,18 @@ def _greedy_rounds(pairs: DataFrame, group: Sequence[str]) -> DataFrame:
             .filter((F.col("_order") == F.col("_fa")) & (F.col("_order") == F.col("_fb")))
         )
         lost = cut(ready.select(*group, F.col("_loser").alias("_gone"), F.col("_order").alias("_by")))
-        gone = lost if gone is None else cut(gone.unionByName(lost))
+        rounds.append(lost)
         dead = lost.select(*group, "_gone")
         open_edges = cut(
             open_edges.join(dead.withColumnRenamed("_gone", "item_a"), [*group, "item_a"], "left_anti")
             .join(dead.withColumnRenamed("_gone", "item_b"), [*group, "item_b"], "left_anti")
         )
-    if gone is None:
+    if not rounds:
         return edges.select(*group, F.col("item_a").alias("kept"), F.col("item_b").alias("removed"),
                             (-F.col("_neg")).alias("similarity"))
+    gone = rounds[0]
+    for lost in rounds[1:]:
+        gone = gone.unionByName(lost)
     for end in ("a", "b"):
         edges = edges.join(
             gone.select(*group, F.col("_gone").alias(f"item_{end}"), F.col("_by").alias(f"_by_{end}")),
@@ -633,10 +646,7 @@ def near_duplicates(
     """Copies and near pairs of every group resolved to kept/removed records."""
     if scores is None:
         scores = vectors.select(*group, item, F.lit(0.0).alias(score))
-    with_score = vectors.select(*group, item, vector).join(
-        scores.select(*group, item, score), [*group, item], "left"
-    )
-    distinct, copies, sizes = split_copies(with_score, group, item, vector, score)
+    distinct, copies, sizes = split_copies(vectors.select(*group, item, vector), group, item, vector, score, scores)
     pairs = near_pairs(distinct, threshold, group, item, vector, sizes=sizes)
     return resolve_duplicates(
         pairs, scores, group, item, score, copies if threshold < 1.0 else None

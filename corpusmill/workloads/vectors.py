@@ -49,6 +49,12 @@ pairs AS (SELECT a.label, a.vec_id AS item_a, b.vec_id AS item_b, list_dot_produ
           WHERE list_dot_product(a.u, b.u) > 0.3)
 """
 
+COPIES_SQL = """
+withc AS (SELECT label, vec_id AS item_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+          UNION ALL SELECT label, vec_id + 1000000, CAST(embedding AS DOUBLE[]) FROM embeddings WHERE vec_id % 7 = 0),
+cset AS (SELECT *, first_value(item_id) OVER (PARTITION BY label, e ORDER BY (item_id * 37 % 101) DESC, item_id) AS kept FROM withc)
+"""
+
 # Greedy walk over the ranked pairs of each label.
 GREEDY_SQL = """
 scored AS (SELECT vec_id, (vec_id * 37 % 101) / 100.0 AS score FROM embeddings),
@@ -156,6 +162,25 @@ def mislabel_candidates(spark, sf_dir):
     return O.mislabeled(vectors(spark, sf_dir), margin=0.02)
 
 
+def _with_copies(spark, sf_dir):
+    """The vectors and a second item for some of them, with the same vector."""
+    vecs = vectors(spark, sf_dir).select("label", "item_id", "embedding")
+    return vecs.unionByName(vecs.filter("item_id % 7 = 0").withColumn("item_id", F.col("item_id") + 1_000_000))
+
+
+def copied_members(spark, sf_dir):
+    """Members of every set of copies with the item that stands for it."""
+    vecs = _with_copies(spark, sf_dir)
+    return O.split_copies(vecs, score="composite_score", scores=scores(vecs))[1]
+
+
+def copied_pairs(spark, sf_dir):
+    """Near pairs between the representatives of a table with copies."""
+    vecs = _with_copies(spark, sf_dir)
+    distinct, _, sizes = O.split_copies(vecs, score="composite_score", scores=scores(vecs))
+    return O.near_pairs(distinct, PAIR_THRESHOLD, sizes=sizes).withColumn("similarity", F.round("similarity", 6))
+
+
 def mislabel_totals(spark, sf_dir):
     return O.mislabel_summary(O.mislabeled(vectors(spark, sf_dir), margin=0.02))
 
@@ -185,6 +210,8 @@ QUERIES = {
     "duplicate_resolution": duplicate_resolution,
     "mislabel_candidates": mislabel_candidates,
     "mislabel_totals": mislabel_totals,
+    "copied_members": copied_members,
+    "copied_pairs": copied_pairs,
     "encoded_items": encoded_items,
 }
 
@@ -242,6 +269,12 @@ ORACLES = {
     "mislabel_candidates": f"""WITH {VECTORS_SQL}, {MISLABEL_SQL}
       SELECT label, vec_id AS item_id, round(own, 4) AS own_distance, nearest_label,
              round(nearest, 4) AS nearest_distance, own - nearest > 0.02 AS suspected FROM mis""",
+    "copied_members": f"WITH {COPIES_SQL} SELECT label, kept, item_id AS removed FROM cset WHERE item_id <> kept",
+    "copied_pairs": f"""WITH {VECTORS_SQL}, {COPIES_SQL},
+      rep AS (SELECT DISTINCT kept AS item_id, label, e FROM cset),
+      ru2 AS (SELECT item_id, label, list_transform(e, lambda x: x / sqrt(list_dot_product(e, e))) AS u FROM rep)
+      SELECT a.label, a.item_id AS item_a, b.item_id AS item_b, round(list_dot_product(a.u, b.u), 6) AS similarity
+      FROM ru2 a JOIN ru2 b ON a.label = b.label AND a.item_id < b.item_id WHERE list_dot_product(a.u, b.u) > 0.3""",
     "mislabel_totals": f"""WITH {VECTORS_SQL}, {MISLABEL_SQL}
       SELECT label, count(*) AS suspected_count FROM mis WHERE own - nearest > 0.02 GROUP BY ROLLUP (label)""",
     "encoded_items": """SELECT doc_id AS item_id, length(text) AS chars,

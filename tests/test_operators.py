@@ -5,7 +5,7 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
-from corpusmill.operators import boxes, calibration, evaluation, splits, trainset, verdict
+from corpusmill.operators import boxes, calibration, evaluation, splits, trainset, vectors, verdict
 
 
 def rows(df):
@@ -279,3 +279,61 @@ def test_drag_and_small_boxes(spark):
     ann = spark.createDataFrame([("a", "eq", (0, 0, 5, 10), 0.5), ("a", "lo", (0, 0, 4, 10), 0.5), ("a", "no", None, None), ("a", "un", (0, 0, 1, 1), 0.5)], ANN)
     items = ann.select("label", "name", F.when(F.col("name") == "un", 0).otherwise(10).alias("width"), F.lit(100).alias("height"))
     assert rows(boxes.small_boxes(ann, items)) == [("a", "lo")]
+
+
+# -- gaps, unknown classes, empty input ----------------------------------------------
+
+
+def test_carried_frames_with_gaps_and_nulls(spark):
+    frames = spark.createDataFrame(
+        [("s", f, f"p{f}") for f in (0, 1, 2, 4, 5, 7)] + [("s", 9, None), ("s", 10, "p10"), ("s", 12, "p12"), ("t", 1, "q1")],
+        "source string, frame int, prediction string",
+    )
+    got = {(r["source"], r["frame"]): (r["shown"], r["predicted"]) for r in evaluation.decimate_and_fill(frames).collect()}
+    assert [got["s", f][0] for f in (0, 1, 2, 4, 5, 7, 9, 10, 12)] == ["p0"] * 8 + ["p12"]
+    assert got["s", 9][1] and not got["s", 4][1] and got["t", 1] == (None, False)
+
+
+def test_top_k_keeps_classes_outside_the_map(spark):
+    logits = spark.createDataFrame([("x", [0.1, 5.0, 0.2])], "item_id string, logits array<double>")
+    names = spark.createDataFrame([(0, "a"), (2, "c")], "idx int, label string")
+    got = [(r["rank"], r["label"], r["display_name"]) for r in evaluation.top_k(logits, names, k=3).orderBy("rank").collect()]
+    assert got == [(1, "class_1", "class_1"), (2, "c", "c"), (3, "a", "a")]
+
+
+def test_loss_summary_counts_problems(spark):
+    losses = spark.createDataFrame([(str(i), 1.0) for i in range(9)] + [("z", 11.0)], "item_id string, loss double")
+    row = evaluation.loss_summary(losses, 2.0).first()
+    assert (row["total_items"], row["sigma_k"], row["problematic_count"]) == (10, 2.0, 1) and row["threshold"] == 8.0
+    assert evaluation.loss_outliers(losses, 2.0).first()["item_id"] == "z"
+
+
+def test_totals_of_empty_input(spark):
+    found = spark.createDataFrame([("a", "x", False)], "label string, item_id string, suspected boolean")
+    assert rows(vectors.mislabel_summary(found)) == [(None, 0)]
+    annotations = spark.createDataFrame([], "label string, name string, bbox struct<x:int>")
+    assert rows(boxes.annotation_rollup(annotations)) == [(None, 0, 0, 0.0)]
+
+
+@pytest.mark.parametrize("max_bytes", [1, 200, 1 << 20])
+def test_centroid_blocks_of_any_size(spark, max_bytes):
+    vecs = spark.createDataFrame(
+        [(f"l{i % 5}", i, [float((i * k) % 7 + 1) for k in (1, 2, 3)]) for i in range(40)],
+        "label string, item_id int, embedding array<float>",
+    )
+    whole = {r["item_id"]: tuple(r) for r in vectors.mislabeled(vecs).collect()}
+    assert {r["item_id"]: tuple(r) for r in vectors.mislabeled(vecs, max_bytes=max_bytes).collect()} == whole
+    cents = vectors.centroids(vecs)
+    scores = [
+        {r["item_id"]: [round(x, 9) for x in r["s"]] for r in vecs.select("item_id", vectors.class_scores(vecs, cents, max_bytes=m).alias("s")).collect()}
+        for m in (max_bytes, 1 << 24)
+    ]
+    assert scores[0] == scores[1] and len(scores[0][0]) == 5
+
+
+def test_encoder_gets_what_setup_returns(spark):
+    import numpy as np
+
+    items = spark.createDataFrame([("a", 1, "xx")], "label string, item_id int, text string")
+    done = vectors.encode(items, lambda state, texts: np.full((len(texts), 2), state), "text", setup=lambda: 7.0)
+    assert list(done.first()["embedding"]) == [7.0, 7.0]

@@ -117,3 +117,42 @@ def test_round_matches_python(spark):
     df = spark.createDataFrame([(v,) for v in values], "v double")
     for digits in (0, 1, 2, 4):
         assert [r[0] for r in df.select(round_to(F.col("v"), digits)).collect()] == [float(round(v, digits)) for v in values]
+
+
+def test_top_n_beyond_the_engine_limit(spark):
+    """No row beyond n of a partition's group reaches a shuffle, whatever n is."""
+    df = spark.range(0, 40_000, 1, 4).select(
+        F.when(F.col("id") % 10 < 9, "hot").otherwise("cold").alias("g"), (F.col("id") * 7919 % 40_009).alias("v")
+    )
+    from corpusmill.plans import ranking
+
+    for n in (3, 1500):
+        got = {(r["g"], r["rn"], r["v"]) for r in ranking.top_n(df, ["g"], [F.col("v")], n).collect()}
+        want = set()
+        for g, values in (("hot", []), ("cold", [])):
+            values = sorted(r["v"] for r in df.filter(F.col("g") == g).collect())[:n]
+            want |= {(g, i + 1, v) for i, v in enumerate(values)}
+        assert got == want
+    first = ranking._first_of_partitions(df, ["g"], [F.col("v")], 1500)
+    assert first.count() == 4 * 1500 + 4 * 1000
+    plan = ranking.top_n(df, ["g"], [F.col("v")], 5000)._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("MapInArrow") > plan.rindex("Exchange")
+
+
+def test_ship_sends_the_package(spark, tmp_path):
+    """A vector query of a process that stands elsewhere and whose workers can't see the folder."""
+    import os
+    import subprocess
+    import sys
+
+    top = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    code = (
+        f"import sys; sys.path.insert(0, {top!r})\n"
+        "import __spark_entry__ as e\n"
+        "from corpusmill.session import get_session\n"
+        "s = get_session('local[2]', 'elsewhere', 2, '1g')\n"
+        "print('rows', e.queries()['label_centroids'](s, '/root/testdata/sf0.001').count())\n"
+    )
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=300)
+    assert "rows 640" in done.stdout, done.stderr[-2000:]
