@@ -18,6 +18,8 @@ HEADLINE = (
     "tier_fill", "best_detections", "quality_scores", "coco_annotations", "sample_random",
     "threshold_sweep", "split_dataset_rule", "merged_annotations", "balanced_resample",
     "classification_report", "loss_outliers", "top_classes", "frame_carry_forward", "early_stops",
+    "verdict_capped", "dataset_stats", "report_summary", "merged_items", "streamed_categories",
+    "streamed_top_classes",
 )
 
 

@@ -274,16 +274,24 @@ def fill_priority(
 
     ``needs`` is ``(label, name, taxon_id, needed)``. A photo found in both
     boxes counts for the inner one. Output adds ``tier`` (1 inner, 2 outer).
+    Photos and observations are joined once; both boxes are one aggregation.
     """
     needs, _ = small_table(needs.select("label", "name", "taxon_id", "needed"))
     group = ("label", "needed")
     wanted = join_small(observations, needs.select("taxon_id"), ["taxon_id"], "left_semi")
     pool = join_small(eligible_photos(photos, wanted, outer, 0), needs, ["taxon_id"])
     inside = in_box(F.col("latitude"), F.col("longitude"), inner) & F.col("name").isin(*priority)
-    near = dedupe_bursts(pool.filter(inside), group).withColumn("tier", F.lit(1))
-    far = dedupe_bursts(pool, group).withColumn("tier", F.lit(2))
-    both = near.unionByName(far).groupBy(*group, "photo_id").agg(
-        F.min("tier").alias("tier"), F.first("extension").alias("extension")
+    placed = pool.withColumns({"_lat": F.round("latitude", 2), "_lon": F.round("longitude", 2)})
+    photo = F.struct("photo_id", "extension")
+    bursts = placed.groupBy(*group, *BURST).agg(
+        F.min_by(photo, F.when(inside, F.col("photo_id"))).alias("_near"), F.min_by(photo, "photo_id").alias("_far")
+    )
+    tiers = F.array(*[F.struct(F.lit(i).alias("tier"), F.col(c).alias("p")) for i, c in ((1, "_near"), (2, "_far"))])
+    both = (
+        bursts.select(*group, F.explode(tiers).alias("t"))
+        .filter("t.p IS NOT NULL")
+        .groupBy(*group, F.col("t.p.photo_id").alias("photo_id"))
+        .agg(F.min("t.tier").alias("tier"), F.first("t.p.extension").alias("extension"))
     )
     order = [F.col("tier"), shuffle_key(F.col("photo_id"), seed), F.col("photo_id")]
     return top_n(both, ["label"], order, _largest(needs), "needed").select(

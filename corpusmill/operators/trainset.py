@@ -54,10 +54,7 @@ def label_map_problems(label_map: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("_n")
     )
     repeated = counts.filter("_n > 1").select("idx", F.lit("duplicate").alias("problem"))
-    size = label_map.agg(F.count(F.lit(1)).alias("_size"))
-    expected = size.filter("_size > 0").select(
-        F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_size") - 1)).alias("idx")
-    )
+    expected = label_map.sparkSession.range(label_map.count()).withColumnRenamed("id", "idx")
     missing = expected.join(counts, "idx", "left_anti").withColumn("problem", F.lit("missing"))
     return repeated.unionByName(missing)
 
