@@ -169,3 +169,36 @@ def test_unknown_image_size_lets_the_score_decide(spark):
     )
     got = {r["name"]: r["score"] for r in boxes.best_detection(dets).collect()}
     assert got == {"x": 0.7, "y": 0.4}
+
+
+def test_one_layout_at_every_size(spark, tmp_path):
+    rows = spark.createDataFrame(
+        [("a", "1", (1.0, 2.0, 3.0, 4.0), 0.5), ("a", "2", None, None), ("b", "3", None, None)],
+        "label string, name string, bbox struct<x:double,y:double,w:double,h:double>, score double",
+    )
+    for per_object, parts in ((1, 2), (100, 1)):
+        A.write_annotations(rows, path := f"{tmp_path}/ann{per_object}", ["label"], per_object)
+        assert all(p.startswith("part=") for p in os.listdir(f"{path}/label=b") if "=" in p)
+        assert len(A.read_written_annotations(spark, path).collect()) == 3
+        assert len([p for p in os.listdir(f"{path}/label=a") if "=" in p]) <= parts
+
+
+def test_label_document_is_one_json_object(spark, tmp_path):
+    names = ['q"uote', "back\\slash", "é", "a b"]
+    label_map = spark.createDataFrame([(n, i) for i, n in enumerate(names)], "label string, idx int")
+    for rows in (label_map, label_map.filter("idx < 0")):
+        labels.write_label_map(rows, f"{tmp_path}/map", "overwrite")
+        (file,) = [f for f in os.listdir(f"{tmp_path}/map") if f.startswith("part-")]
+        with open(f"{tmp_path}/map/{file}", encoding="utf-8") as f:
+            assert json.load(f) == {r["label"]: r["idx"] for r in rows.collect()}
+        assert sorted(labels.read_label_map(spark, f"{tmp_path}/map").collect()) == sorted(rows.collect())
+
+
+def test_interrupted_manifest_is_planned_again(spark, tmp_path):
+    plan = lambda: spark.createDataFrame([("a", 1, 2, 1, 0, [("europe", 5, "JPG")])], manifests.ROW)
+    manifests.write_manifest(plan().limit(0), f"{tmp_path}/m", 10)
+    os.rename(f"{tmp_path}/m/_SUCCESS", f"{tmp_path}/kept-marker")
+    assert manifests.plan_or_resume(spark, f"{tmp_path}/m", plan, 10).count() == 1
+    manifests.write_manifest_document(plan(), f"{tmp_path}/doc", 7)
+    row = manifests.read_manifest_document(spark, f"{tmp_path}/doc").first()
+    assert (row["label"], row["needed"], row["found_primary"], row["target"]) == ("a", 2, 1, 7) and row["photos"][0]["photo_id"] == 5
