@@ -13,8 +13,8 @@ text. Every line of that region counts, a short one too.
 Defined results: a null or empty page, and one with no text outside the
 excluded elements, gives an empty text. Rows that repeat a page_id are
 extracted one by one, null ids included. An empty table gives no rows; extra
-columns are ignored. Markup that is cut off in the middle is text as far as the
-parser reads it.
+columns are ignored. Markup that is cut off in the middle, and openings that
+nothing closes, are text as far as the parser reads them.
 """
 
 from __future__ import annotations
@@ -142,6 +142,10 @@ class _Lines(HTMLParser):
     def handle_decl(self, decl: str) -> None:
         self.tags += 1
 
+    def parse_marked_section(self, i: int, report: int = 1) -> int:
+        """Broken marked sections are comments up to the next ``>``, as browsers read them."""
+        return self.parse_bogus_comment(i)
+
 
 def _smoothed(ratio: np.ndarray) -> np.ndarray:
     radius = int(np.ceil(3 * SMOOTHING))
@@ -165,10 +169,23 @@ def _threshold(values: np.ndarray) -> float:
     return (low + high) / 2
 
 
+def _closable(html: str) -> str:
+    """The page with openings that nothing closes made text, but for the last one.
+
+    The parser looks for the end of each of them anew, which takes the square
+    of their number.
+    """
+    at = html.rfind("-->") + 1
+    html = html[:at] + html[at:].replace("<!--", "&lt;!--")
+    at = html.rfind(">") + 1
+    last = max(html.rfind("<"), at)
+    return html[:at] + html[at:last].replace("<", "&lt;") + html[last:]
+
+
 def main_text(html: str) -> str:
     """The article of a page as one line of text."""
     parser = _Lines()
-    parser.feed(html)
+    parser.feed(_closable(html))
     parser.close()
     parser.cut()
     lines = parser.lines

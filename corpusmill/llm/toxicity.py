@@ -16,8 +16,8 @@ Arrow pass over all whole texts.
 
 Defined results: a null or empty text gets the score of the intercept; a null
 doc_id counts as held out; rows that repeat a doc_id are scored one by one.
-Conflicting labels of one id are all used; null labels and labels without a
-document are not. With fewer than two classes to learn from, every score is the
+Conflicting labels of one id are all used; labels other than 0 and 1, and those
+without a document, are not. With fewer than two classes to learn from, every score is the
 share of toxic rows in the sample (0.5 without rows). Extra columns are ignored.
 """
 
@@ -88,7 +88,7 @@ class _Numbers(dict):
 def labelled(docs: DataFrame, labels: DataFrame, held_out_of: int, sample: int) -> DataFrame:
     """(text, toxic) of the sampled learning rows; the sample is broadcast, texts aren't moved."""
     rows = (
-        labels.filter((remainder("doc_id", held_out_of) != 0) & F.col("toxic").isNotNull())
+        labels.filter((remainder("doc_id", held_out_of) != 0) & F.col("toxic").isin(0, 1))
         .select(F.col("doc_id").alias("_id"), F.col("toxic").cast("int").alias("toxic"))
         .orderBy(F.xxhash64("_id"), "toxic", "_id")
         .limit(sample)

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from corpusmill.llm import decontaminate, exact, language, lines, packing, pii, pipeline, ppm, simhash
 from corpusmill.llm import simhash_wide, toxicity
-from corpusmill.llm.html import extracted
+from corpusmill.llm.html import extracted, main_text
 from corpusmill.llm.queries import tokenizer_path
 
 LONG = " ".join(f"word{i % 977} and number {i}" for i in range(40_000))
@@ -108,6 +108,11 @@ def test_pages(spark):
     assert extracted(pages.filter("page_id < 0")).collect() == []
 
 
+def test_broken_pages():
+    for page in ("<![</p>text", "a <![if x]>b", "<![CDATA[c]]>d", "<!", "</", "<a <b", "&#99999999999;", "<script>x", "<!--"):
+        assert isinstance(main_text(page), str)
+
+
 def test_pipeline_stages(spark, docs, tmp_path):
     spark.createDataFrame([(1, "x y z")], "item_id bigint, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
     for rows in (docs, docs.filter("doc_id < 0")):
