@@ -14,8 +14,8 @@ they are broadcast. With fixed counts the cost of a symbol depends on its
 context alone, so each worker expands the trie once into a table of costs.
 ``adaptive_cost`` is the other mode: counts that grow while a text is read.
 
-The base needs a count for every word of every text. The ``HEAD`` most frequent
-words travel to the tasks (a fixed number); all others meet their counts in a
+The base needs a count for every word of every text. The most frequent words,
+at most ``HEAD``, travel to the tasks; all others meet their counts in a
 shuffle join, with one row for each different word of a text. So a word that is
 in every text is never a shuffle key.
 
@@ -101,6 +101,18 @@ def corpus_counts(docs: DataFrame) -> DataFrame:
     return partial.groupBy("word", "code").agg(F.sum("n").alias("n"))
 
 
+def _frequent(words: DataFrame, head: int) -> DataFrame:
+    """At most ``head`` words, all those above a count; found by a histogram of counts, without a sort."""
+    step = F.floor(F.log2("n") * 64).cast("int")
+    held, least = 0, None
+    for row in sorted(words.groupBy(step.alias("s")).count().collect(), reverse=True):  # a few thousand steps
+        held += row["count"]
+        if held > head:
+            break
+        least = row["s"]
+    return words.filter(step >= least) if least is not None else words.limit(0)
+
+
 def _level(counts: np.ndarray, excluded: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Probability of each met symbol and of an escape, per row."""
     open_ = np.where(excluded, 0.0, counts)
@@ -185,7 +197,7 @@ def ppm_scores(
     tokens, kinds = size[0] or 0, size[1]
     whole = math.log10(tokens + 0.1 * (kinds + 1))
     trie = counts.filter("code is not null").select("code", "n").toArrow()  # 2**24 rows at most
-    frequent = words.orderBy(F.desc("n"), "word").limit(head).toArrow()
+    frequent = _frequent(words, head).toArrow()
     spark = docs.sparkSession
     sent = spark.sparkContext.broadcast(
         (
