@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusmill.llm.tables import pieces
+from corpusmill.llm.tables import pieces, smallest_hashes, stored
 from corpusmill.llm.tagger import SPACE, Tagger, char_classes
 
 KINDS = ("email", "ip", "card", "phone")
@@ -119,7 +119,7 @@ def contexts(docs: DataFrame, sample: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
 
     found = docs.mapInArrow(cut, "around string, begin int, end int, kind int").distinct()
-    return found.orderBy(F.xxhash64(*names), *names).limit(sample)
+    return smallest_hashes(stored(found, "pii-spans"), names, sample)
 
 
 def _rewritten(span: str, kind: int, rng: np.random.Generator) -> str:

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -47,6 +47,18 @@ def pieces(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[
             yield part, [x or "" for x in part.column(part.schema.get_field_index(column)).to_pylist()]
 
 
+def smallest_hashes(df: DataFrame, keys: Sequence[str], limit: int) -> DataFrame:
+    """The rows with the smallest hashes of their keys: a sample of fixed size that a rerun repeats.
+
+    A bound on the hash, from the counted rows, lets few more than ``limit``
+    rows leave their tasks.
+    """
+    h, rows = F.xxhash64(*keys), df.count()
+    if rows > 4 * limit:
+        df = df.filter(h <= -(1 << 63) + (2 * limit << 64) // rows)
+    return df.orderBy(h, *keys).limit(limit)
+
+
 BROADCAST_BYTES = 48 << 20
 
 

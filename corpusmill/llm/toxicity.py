@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusmill.llm.tables import pieces, remainder
+from corpusmill.llm.tables import pieces, remainder, smallest_hashes
 
 SAMPLE = 20_000
 KEPT = 4096
@@ -87,12 +87,10 @@ class _Numbers(dict):
 
 def labelled(docs: DataFrame, labels: DataFrame, held_out_of: int, sample: int) -> DataFrame:
     """(text, toxic) of the sampled learning rows; the sample is broadcast, texts aren't moved."""
-    rows = (
-        labels.filter((remainder("doc_id", held_out_of) != 0) & F.col("toxic").isin(0, 1))
-        .select(F.col("doc_id").alias("_id"), F.col("toxic").cast("int").alias("toxic"))
-        .orderBy(F.xxhash64("_id"), "toxic", "_id")
-        .limit(sample)
+    known = labels.filter((remainder("doc_id", held_out_of) != 0) & F.col("toxic").isin(0, 1)).select(
+        F.col("doc_id").alias("_id"), F.col("toxic").cast("int").alias("toxic")
     )
+    rows = smallest_hashes(known, ["_id", "toxic"], sample)
     return docs.select("doc_id", "text").join(F.broadcast(rows), F.col("doc_id") == F.col("_id")).select("text", "toxic")
 
 
