@@ -12,7 +12,7 @@ probes with the substrings at which the shorter one's segments can lie. Pairs
 that meet are verified by banded bit-parallel edit distance on the part outside
 the common segment: one word of 2k+1 diagonals per number of errors.
 
-The segment in doubt is halved again, round by round, until it is short and
+The segment in doubt is cut into parts, round by round, until it is short and
 few lines are left in an entry, or it is a single character; lines that agree
 but for one character are all linked to the smallest. Most pairs that are
 further apart part company on the way, and what is verified is short. So no entry, however large, is paired with itself, no link is lost,
@@ -35,6 +35,7 @@ from corpusmill.llm.tables import sized, stored
 MIN_CHARS = 20
 CROWDED = 24
 SHORT = 16
+PARTS = 8
 
 
 def _occurrences(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -164,15 +165,14 @@ def _one_character(rows: DataFrame) -> DataFrame:
     return stars.unionAll(mine.join(longer, ["key", "c"]).select("a", "b"))
 
 
-def _halved(many: DataFrame) -> DataFrame:
-    """Both halves of the piece in doubt, each with the rest of the line as key."""
-    middle = ((F.col("low") + F.col("high")) / 2).cast("int")
-    halves = F.array(
-        F.struct(F.col("low").alias("low"), middle.alias("high")),
-        F.struct(middle.alias("low"), F.col("high").alias("high")),
-    )
-    rows = many.select("h", "line", "own", "base", F.explode(halves).alias("r")).select(
-        "h", "line", "own", "base", F.col("r.low").alias("low"), F.col("r.high").alias("high")
+def _narrowed(many: DataFrame) -> DataFrame:
+    """The parts of the piece in doubt, each with the rest of the line as key."""
+    bound = lambda j: F.col("low") + ((F.col("high") - F.col("low")) * j / PARTS).cast("int")
+    parts = F.array(*[F.struct(bound(j).alias("low"), bound(j + 1).alias("high")) for j in range(PARTS)])
+    rows = (
+        many.select("h", "line", "own", "base", F.explode(parts).alias("r"))
+        .filter("r.low < r.high")
+        .select("h", "line", "own", "base", F.col("r.low").alias("low"), F.col("r.high").alias("high"))
     )
     key = _key(F.col("base"), F.col("low"), F.col("high"), "line", F.length("line"), F.col("own"))
     # A longer line may come to one key by two ways.
@@ -205,7 +205,7 @@ def edit_links(lines: DataFrame, crowded: int = CROWDED) -> DataFrame:
         many = rows.filter(~small & ~single)
         if many.isEmpty():
             return links
-        rows = stored(_met(_halved(many)), "lines-halved")
+        rows = stored(_met(_narrowed(many)), "lines-narrowed")
 
 
 def line_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
