@@ -9,8 +9,8 @@ centroid with the largest cosine. A text further from every centroid than
 rejected.
 
 Learning uses at most ``per_language`` rows of each language (the smallest
-hashes of their ids) outside the held-out fold. They are vectorised in Spark
-tasks; the driver receives one byte vector per sampled text.
+hashes of their ids) outside the held-out fold. They are vectorised in the tasks
+that read them and clustered by one task; the driver receives the centroids.
 
 Defined results: a null text or one without any letter is ``und`` with score 0
 and is rejected; a null doc_id takes part like the empty id; rows that repeat a
@@ -20,6 +20,7 @@ doc_id are predicted one by one. Without anything to learn from, every text is
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 
 import numpy as np
@@ -124,15 +125,20 @@ def learn(docs: DataFrame, fold: int = 4, held_out: int = 2, per_language: int =
                 [part.column("lang"), pa.array([x.tobytes() for x in found], pa.binary())], ["lang", "found"]
             )
 
-    table = (
+    def fitted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = sorted(tuple(r.values()) for batch in batches for r in batch.to_pylist())
+        found = np.frombuffer(b"".join(x for _, x in rows), "<u2").reshape(-1, WIDTH)
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(Model(found, [x for x, _ in rows]))])], ["model"])
+
+    own = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("lang") == F.col("_lang"))
+    found = (
         docs.select("doc_id", F.col("lang").cast("string").alias("lang"), "text")
-        .join(F.broadcast(chosen), F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("lang") == F.col("_lang")), "left_semi")
+        .join(F.broadcast(chosen), own, "left_semi")
         .select("lang", "text")
         .mapInArrow(vectorised, "lang string, found binary")
-        .toArrow()
     )
-    found = np.frombuffer(b"".join(table["found"].to_pylist()), "<u2").reshape(-1, WIDTH)
-    return Model(found, table["lang"].to_pylist())
+    row = found.repartition(1).mapInArrow(fitted, "model binary").first()
+    return pickle.loads(row["model"]) if row else Model(np.zeros((0, WIDTH), "<u2"), [])
 
 
 def predicted(docs: DataFrame, model: Model) -> DataFrame:
