@@ -165,6 +165,33 @@ def test_similar_groups(spark, crowded):
     assert all(found[i] // 6 == family for i, _, family in rows)
 
 
+@pytest.mark.parametrize("crowded", [2, 24])
+def test_similar_groups_are_those_of_all_pairs(spark, crowded):
+    """Families at about the threshold, and a passage that is common to many others."""
+    rng = random.Random(crowded)
+    word = lambda: "".join(rng.choices("abcdefghij", k=5))
+    passage = [word() for _ in range(30)]
+    texts = [" ".join([*passage, *(word() for _ in range(90))]) for _ in range(60)]
+    for many in (40, 12, 12, 12, 12):
+        base = [word() for _ in range(120)]
+        for _ in range(many):
+            copy = list(base)
+            for at in rng.sample(range(120), rng.randint(1, 4)):
+                copy[at] = word()
+            texts.append(" ".join(copy))
+    sets = {}
+    for i, x in enumerate(texts):
+        w = x.split()
+        sets[i] = {tuple(w[j : j + 5]) for j in range(len(w) - 4)}
+    groups = Union(sets)
+    for a, b in itertools.combinations(sets, 2):
+        if 10 * len(sets[a] & sets[b]) >= 8 * len(sets[a] | sets[b]):
+            groups.join(a, b)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    found = {r["doc_id"]: r["group_id"] for r in simhash_wide.similar_groups(docs, crowded=crowded).collect()}
+    assert found == {i: groups.find(i) for i in sets}
+
+
 # ---- lines
 
 
