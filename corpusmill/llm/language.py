@@ -4,13 +4,17 @@ A text becomes the hashed counts of its byte trigrams (letters lower-cased,
 ASCII characters that aren't letters as spaces), damped, weighted by inverse
 document frequency and normalised. The vectors of each language's sample are
 clustered on the sphere into a few centroids; a text gets the language of the
-centroid with the largest cosine. A text further from every centroid than
-``SLACK`` times the least cosine that sampled texts of the language have is
-rejected.
+centroid with the largest cosine. It is rejected if that cosine is below the one
+that a share ``QUANTILE`` of the sampled texts of the language fall short of, cut to
+the least length of the text's class (``EDGES``, in characters). A class of fewer
+than ``ENOUGH`` texts takes the quantile of all languages, and if these have too few
+the bound of the next shorter class. Below the first edge only texts without a
+letter are rejected.
 
 Learning uses at most ``per_language`` rows of each language (the smallest
-hashes of their ids) outside the held-out fold. They are vectorised in the tasks
-that read them and clustered by one task; the driver receives the centroids.
+hashes of their ids) that hold a letter, outside the held-out fold. They are
+vectorised in tasks and clustered by one task; the driver receives the centroids
+and the quantiles.
 
 Defined results: a null text or one without any letter is ``und`` with score 0
 and is rejected; a null doc_id takes part like the empty id; rows that repeat a
@@ -28,13 +32,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusmill.llm.tables import pieces, remainder
+from corpusmill.llm.tables import pieces, remainder, stored
 from corpusmill.plans.ranking import top_n
 
 WIDTH = 4096
 PER_LANGUAGE = 1000
 CENTROIDS = 4
-SLACK = 0.5
+QUANTILE = 0.01
+ENOUGH = 20
+EDGES = tuple(8 << i for i in range(9))
 UNKNOWN = "und"
 BLOCK = 256
 _LETTERS = bytes(c if c > 127 or chr(c).isalpha() else 32 for c in range(256))
@@ -59,10 +65,16 @@ def vectors(found: np.ndarray, idf: np.ndarray) -> np.ndarray:
 
 
 def cluster(points: np.ndarray, many: int, rounds: int = 12) -> np.ndarray:
-    """Centroids of spherical k-means, begun from points far from each other."""
-    chosen = [points.mean(axis=0)]
+    """Centroids of spherical k-means, begun from different points far from each other."""
+    points = points[np.linalg.norm(points, axis=1) > 0]
+    if not len(points):
+        return points
+    chosen = [points.mean(axis=0) / max(np.linalg.norm(points.mean(axis=0)), 1e-9)]
     for _ in range(min(many, len(points)) - 1):
-        chosen.append(points[np.argmin(np.max(points @ np.array(chosen).T, axis=1))])
+        nearest = np.max(points @ np.array(chosen).T, axis=1)
+        if nearest.min() > 1 - 1e-5:  # all points are chosen ones
+            break
+        chosen.append(points[np.argmin(nearest)])
     centres = np.array(chosen)
     for _ in range(rounds):
         centres /= np.maximum(np.linalg.norm(centres, axis=1, keepdims=True), 1e-9)
@@ -76,20 +88,44 @@ def cluster(points: np.ndarray, many: int, rounds: int = 12) -> np.ndarray:
 class Model:
     """Centroids with their languages, document frequencies and rejection bounds."""
 
-    def __init__(self, found: np.ndarray, languages: list[str], many: int = CENTROIDS, slack: float = SLACK):
+    def __init__(self, found: np.ndarray, languages: list[str], many: int = CENTROIDS):
         rows = max(len(languages), 1)
         self.idf = (np.log((1 + rows) / (1 + (found > 0).sum(axis=0))) + 1).astype(np.float32)
         points, own = vectors(found, self.idf), np.array(languages, object)
         self.names: list[str] = []
-        parts, bounds = [], []
+        parts = []
         for name in sorted(set(languages)):
             mine = points[own == name]
             centres = cluster(mine, many)
             parts.append(centres)
-            bounds += [slack * float((mine @ centres.T).max(axis=1).min())] * len(centres)
             self.names += [name] * len(centres)
         self.centres = np.concatenate(parts) if parts else np.zeros((0, WIDTH), np.float32)
-        self.bounds = np.array(bounds)
+        # Of each centroid: rejection bounds below the first edge, and of the class from each edge.
+        self.bounds = np.zeros((len(self.names), 1 + len(EDGES)))
+
+    def cosines(self, texts: list[str], languages: list[str]) -> list[tuple[str, int, float]]:
+        """(language, class, cosine) of texts cut to each edge they reach, by the centroids of their language."""
+        out = []
+        for edge, at in zip(EDGES, range(1, 1 + len(EDGES)), strict=True):
+            own = [(x[:edge], y) for x, y in zip(texts, languages, strict=True) if len(x) >= edge]
+            own = [(x, y) for x, y in own if any(map(str.isalpha, x))]
+            for start in range(0, len(own), BLOCK):
+                block = own[start : start + BLOCK]
+                found = vectors(counts([x for x, _ in block]), self.idf) @ self.centres.T
+                other = np.array([[name != y for name in self.names] for _, y in block])
+                best = np.where(other, -1.0, found).max(axis=1)
+                out += [(y, at, float(c)) for (_, y), c in zip(block, best, strict=True)]
+        return out
+
+    def bound(self, quantiles: dict[tuple[str | None, int], tuple[int, float]]) -> None:
+        """Takes the bounds from the (number, quantile) of each language (None: of all) and class."""
+        for i, name in enumerate(self.names):
+            for at in range(1, 1 + len(EDGES)):
+                n, least = quantiles.get((name, at), (0, 0.0))
+                if n < ENOUGH:
+                    n, least = quantiles.get((None, at), (0, 0.0))
+                before = self.bounds[i, at - 1]
+                self.bounds[i, at] = max(before, least) if n >= ENOUGH else before
 
     def predict(self, texts: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
         """Language, cosine and rejection of each text."""
@@ -105,13 +141,15 @@ class Model:
                 cosine = np.clip(cosine[np.arange(len(block)), best], 0, 1)
             names += [self.names[b] if k else UNKNOWN for b, k in zip(best, known, strict=True)]
             cosines.append(np.where(known, cosine, 0.0))
-            rejected.append(~known | (cosine < (self.bounds[best] if self.names else 0)))
+            length = np.searchsorted(EDGES, [len(x) for x in block], side="right")
+            rejected.append(~known | (cosine < (self.bounds[best, length] if self.names else 0)))
         return names, np.concatenate(cosines or [[]]).astype(float), np.concatenate(rejected or [[]]).astype(bool)
 
 
 def learn(docs: DataFrame, fold: int = 4, held_out: int = 2, per_language: int = PER_LANGUAGE) -> Model:
     """Model of the rows whose id isn't in the held-out fold and whose language is known."""
-    own = docs.filter((remainder("doc_id", fold) != held_out) & F.col("lang").isNotNull()).select(
+    lettered = docs.filter(F.col("text").rlike(r"\p{L}"))
+    own = lettered.filter((remainder("doc_id", fold) != held_out) & F.col("lang").isNotNull()).select(
         "doc_id", F.col("lang").cast("string").alias("lang")
     )
     chosen = top_n(own, ["lang"], [F.xxhash64("doc_id"), F.col("doc_id")], per_language).select(
@@ -130,15 +168,32 @@ def learn(docs: DataFrame, fold: int = 4, held_out: int = 2, per_language: int =
         found = np.frombuffer(b"".join(x for _, x in rows), "<u2").reshape(-1, WIDTH)
         yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(Model(found, [x for x, _ in rows]))])], ["model"])
 
+    def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, texts in pieces(batches):
+            rows = model.cosines(texts, part.column("lang").to_pylist())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.int32()),
+                 pa.array([r[2] for r in rows], pa.float64())],
+                ["lang", "class", "cosine"],
+            )
+
     own = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("lang") == F.col("_lang"))
-    found = (
-        docs.select("doc_id", F.col("lang").cast("string").alias("lang"), "text")
+    sample = stored(
+        lettered.select("doc_id", F.col("lang").cast("string").alias("lang"), "text")
         .join(F.broadcast(chosen), own, "left_semi")
-        .select("lang", "text")
-        .mapInArrow(vectorised, "lang string, found binary")
+        .select("lang", "text"),
+        "language-sample",
     )
+    found = sample.mapInArrow(vectorised, "lang string, found binary")
     row = found.repartition(1).mapInArrow(fitted, "model binary").first()
-    return pickle.loads(row["model"]) if row else Model(np.zeros((0, WIDTH), "<u2"), [])
+    model = pickle.loads(row["model"]) if row else Model(np.zeros((0, WIDTH), "<u2"), [])
+    if model.names:
+        cosines = sample.mapInArrow(compared, "lang string, class int, cosine double")
+        least = cosines.rollup("class", "lang").agg(
+            F.count(F.lit(1)).alias("n"), F.percentile("cosine", F.lit(QUANTILE)).alias("least")
+        )
+        model.bound({(r["lang"], r["class"]): (r["n"], r["least"]) for r in least.collect()})
+    return model
 
 
 def predicted(docs: DataFrame, model: Model) -> DataFrame:

@@ -420,6 +420,25 @@ def test_far_texts_are_rejected(documents, texts):
     assert rejected[:2].all() and names[1] == "und" and not rejected[2:].any() and (cosine <= 1).all()
 
 
+def test_sentences_of_other_languages_are_rejected(spark):
+    """Also where letterless rows have a language."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "lang")
+    blank = [(-1 - i, x, lang) for i, (x, lang) in enumerate(itertools.product((None, "", "12 34"), ("en", "de", "fr", "es")))]
+    model = language.learn(docs.unionAll(spark.createDataFrame(blank, docs.schema)))
+    assert (np.linalg.norm(model.centres, axis=1) > 0.9).all() and len(model.names) == 4 * language.CENTROIDS
+    foreign = [
+        "Il gatto dorme tranquillo sul divano mentre fuori piove e il vento soffia forte tra gli alberi del giardino.",
+        "De kinderen spelen buiten in de tuin terwijl hun ouders binnen koffie drinken en over het weer praten.",
+        "Kissa nukkuu sohvalla ja ulkona sataa vettä, mutta lapset leikkivät silti pihalla koko päivän.",
+        "Dzieci bawią się na podwórku, a rodzice piją kawę i rozmawiają o pogodzie oraz o nowej pracy.",
+        "Barnen leker i trädgården medan föräldrarna dricker kaffe och pratar om vädret.",
+        "Дети играют во дворе, а родители пьют кофе и разговаривают о погоде и о новой работе.",
+    ]
+    known = [r["text"] for r in docs.filter("length(text) > 60").collect()]
+    assert model.predict(foreign)[2].all()
+    assert model.predict(known)[2].mean() < 0.03
+
+
 def test_articles(spark):
     page = (
         "<html><head><title>T</title><style>x</style></head><body><nav><a href='/'>Home</a></nav>"
