@@ -113,6 +113,22 @@ def test_broken_pages():
         assert isinstance(main_text(page), str)
 
 
+def test_rows_that_share_a_doc_id_are_filtered_one_by_one(spark, tmp_path):
+    words = lambda k: " ".join(f"w{k}x{i}" for i in range(40))
+    rows = [(1, words(0)), (None, words(0)), (None, words(1)), (None, words(2)), (None, words(2)), (7, words(3)),
+            (7, words(3)), (7, words(4)), (None, words(5)), (8, words(0) + " end")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    kept = [tuple(r) for r in pipeline.dedup_near(spark, docs, str(tmp_path)).collect()]
+    wanted = [(1, words(0)), (None, words(1)), (None, words(2)), (7, words(3)), (7, words(4)), (None, words(5))]
+    assert sorted(kept, key=str) == sorted(wanted, key=str)
+    spark.createDataFrame([(1, words(1)), (2, words(4))], "item_id bigint, text string").write.parquet(
+        f"{tmp_path}/benchmark.parquet"
+    )
+    clean = pipeline.decontaminate_benchmark(spark, docs, str(tmp_path)).collect()
+    gone = [r for r in rows if r[1] in (words(1), words(4))]
+    assert sorted(map(tuple, clean), key=str) == sorted((r for r in rows if r not in gone), key=str)
+
+
 def test_pipeline_stages(spark, docs, tmp_path):
     spark.createDataFrame([(1, "x y z")], "item_id bigint, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
     for rows in (docs, docs.filter("doc_id < 0")):
