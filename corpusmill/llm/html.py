@@ -7,8 +7,10 @@ clusters (centres moved until they are stable) give the threshold between
 content and the rest. Elements that are never part of an article (menus,
 footers, forms, adverts, comments ...) yield lines that carry no text but keep
 their tags, so they press the ratio of their surroundings down. The content
-lines then choose the region: the smallest element that holds most of their
-text. Every line of that region counts, a short one too.
+lines then choose the region: from the smallest element that holds most of their
+text up to the article or main element around it, and further to the smallest that
+holds all content lines inside such elements (all content lines of the page, if
+nothing of the kind is around it). Every line of that region counts, a short one too.
 
 Defined results: a null or empty page, and one with no text outside the
 excluded elements, gives an empty text. Rows that repeat a page_id are
@@ -43,6 +45,7 @@ _BLOCK = frozenset(
 )
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _REGION = frozenset("article main section div body td".split())
+_WHOLE = frozenset("article main".split())
 _ROLES = frozenset(
     "navigation banner contentinfo complementary search form menu menubar dialog alert alertdialog".split()
 )
@@ -68,6 +71,7 @@ class _Lines(HTMLParser):
         self.names: Counter = Counter()  # of the open elements
         self.skipping = 0
         self.regions: list[int] = [-1]  # parent of each region
+        self.own: list[int] = [-1]  # the article or main that each region is or lies in
         self.region = 0
         self.text: list[str] = []
         self.tags = 0
@@ -93,6 +97,7 @@ class _Lines(HTMLParser):
         if tag in _REGION and not self.skipping:
             self.regions.append(self.region)
             self.region = len(self.regions) - 1
+            self.own.append(self.region if tag in _WHOLE else self.own[self.regions[-1]])
             self.open.append((tag, excluded, self.regions[-1]))
         else:
             self.open.append((tag, excluded, -1))
@@ -205,6 +210,17 @@ def main_text(html: str) -> str:
             region = parser.regions[region]
     enough = REGION_SHARE * inside[0]
     chosen = max(i for i, size in enumerate(inside) if size >= enough)
+    around = parser.own[chosen]
+    if around >= 0:
+        chosen = around
+    for (_, _, region), good in zip(lines, content, strict=True):
+        if good and (around < 0 or parser.own[region] >= 0):
+            # Parents have smaller numbers: the later one of two climbs until both are one.
+            while region != chosen:
+                if region > chosen:
+                    region = parser.regions[region]
+                else:
+                    chosen = parser.regions[chosen]
     within = [i == chosen for i in range(len(inside))]
     for i in range(chosen + 1, len(inside)):
         within[i] = within[parser.regions[i]]

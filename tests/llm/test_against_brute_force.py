@@ -457,3 +457,19 @@ def test_articles(spark):
 
         plain = re.sub(r"</?b>", "", body)
         assert html.main_text(r["html"]) == " ".join(stdlib.unescape(re.sub(r"<[^>]*>", " ", plain)).split())
+
+
+def test_nested_parts_of_an_article_stay():
+    long = "A long paragraph with many words that goes on and on, so that it has most of the text. " * 4
+    side = "<nav><a href='/'>Home</a><a href='/b'>B</a></nav>"
+    foot = "<footer><a href='/i'>Imprint</a></footer>"
+    wrap = lambda inner: f"<html><body>{side}{inner}{foot}</body></html>"
+    text = " ".join(long.split())
+    short = "A second part that has a fifth of all the text, but belongs to the article as the first one does."
+    page = wrap(f"<article><h1>The headline</h1><div class='body'><p>{long}</p></div></article>")
+    assert html.main_text(page) == f"The headline {text}"
+    for outer in ("article", "main", "div"):
+        page = wrap(f"<{outer}><section><p>{long}</p></section><section><p>{short}</p></section></{outer}>")
+        assert html.main_text(page) == f"{text} {short}"
+    page = wrap(f"<div>Skip to this</div><main><article><p>{long}</p></article><article><p>{short}</p></article></main>")
+    assert html.main_text(page) == f"{text} {short}"
