@@ -15,8 +15,6 @@ table gives no rows; extra columns are ignored.
 
 from __future__ import annotations
 
-import re
-import unicodedata
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -29,20 +27,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from corpusmill.llm.tables import pieces, stored
+from corpusmill.llm.words import byte_alphabet, plain_words
 
 CAPACITY = 2048
 END_ID = 1
-CACHED_WORDS = 600_000
-
-# Letters and numbers below U+0250, where the tokenizer's character classes are spelt out here.
-_LETTER = "a-zªµºß-öø-ÿĀ-ɏA-ZÀ-ÖØ-Þ"
-_NUMBER = "0-9²³¹¼-¾"
-_SPACE = "\\t-\\r \\x85\\xa0"
-_WORDS = re.compile(
-    f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTER}]+|[{_NUMBER}]|[^{_SPACE}{_LETTER}{_NUMBER}]+"
-)
-_BEYOND = re.compile("[^\x00-ɏ]|İ|<\\|")
-
+CACHED_WORDS = 150_000
 
 @lru_cache(maxsize=2)
 def _tokenizer(path: str):
@@ -59,7 +48,7 @@ class _Words(dict):
 
         super().__init__()
         vocabulary = _tokenizer(path).get_vocab(with_added_tokens=False)
-        byte_of = {c: b for b, c in _byte_alphabet().items()}
+        byte_of = {c: b for b, c in byte_alphabet().items()}
         ranks = {}
         for token, number in vocabulary.items():
             body, end = (token[:-4], b"\xff") if token.endswith("</w>") and len(token) > 4 else (token, b"")
@@ -75,28 +64,21 @@ class _Words(dict):
         return value
 
 
-def _byte_alphabet() -> dict[int, str]:
-    """The printable character that stands for each byte in byte-level vocabularies."""
-    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    others = [b for b in range(256) if b not in set(plain)]
-    return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(others)}
-
-
-_words = lru_cache(maxsize=1)(_Words)
+@lru_cache(maxsize=1)
+def _words(path: str) -> _Words:
+    return _Words(path)
 
 
 def token_bytes(text: str, path: str) -> bytes:
     """Ids of a text as little-endian unsigned 32-bit numbers, without the end id.
 
-    Texts of Latin letters are cut into words here and looked up; the cut and
-    the ids are those of the tokenizer file. All other texts are encoded by the
-    tokenizer itself.
+    Words that ``plain_words`` cuts are looked up; the cut and the ids are those
+    of the tokenizer file. All other texts are encoded by the tokenizer itself.
     """
-    if _BEYOND.search(text):
+    words = plain_words(text, path)
+    if words is None:
         return np.array(_tokenizer(path).encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-    if not unicodedata.is_normalized("NFC", text):
-        text = unicodedata.normalize("NFC", text)
-    return b"".join(map(_words(path).__getitem__, _WORDS.findall(text.lower())))
+    return b"".join(map(_words(path).__getitem__, words))
 
 
 def token_pieces(docs: DataFrame, path: str, capacity: int, id_col: str, text_col: str) -> DataFrame:
@@ -119,6 +101,7 @@ def token_pieces(docs: DataFrame, path: str, capacity: int, id_col: str, text_co
                     seen[length] += 1
             columns = zip(*rows, strict=True) if rows else [[] for _ in names]
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names)
+        _words(path).clear()
 
     read = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
     return read.mapInArrow(cut, ", ".join(f"{x} bigint" for x in names))

@@ -79,7 +79,8 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
         return []
     out = [(a, 0, b) for a, b in _emails(text)]
     for m in _IP.finditer(text):
-        if all(len(x.lstrip("0")) <= 3 and int(x) <= 255 for x in m[0].split(".")):
+        parts = [x.lstrip("0") for x in m[0].split(".")]
+        if all(len(x) < 3 or len(x) == 3 and x <= "255" for x in parts):
             out.append((m.start(), 1, m.end()))
     for m in _CARD.finditer(text):
         digits = re.sub("[^0-9]", "", m[0])
@@ -180,13 +181,14 @@ def _runs(text: str) -> list[tuple[int, int]]:
 
 def added_spans(texts: list[str], model: Tagger) -> list[list[tuple[int, int, int]]]:
     """The tagger's spans of each text, not yet held against the base."""
-    runs = [(i, a, b) for i, text in enumerate(texts) for a, b in _runs(text)]
+    # Runs of like length share a block, so that padding stays small.
+    runs = sorted(((i, a, b) for i, text in enumerate(texts) for a, b in _runs(text)), key=lambda r: r[2] - r[1])
     out: list[list[tuple[int, int, int]]] = [[] for _ in texts]
     weight = np.minimum(np.arange(1, WINDOW + 1), np.arange(WINDOW, 0, -1))[:, None].astype(float)
     at = 0
     while at < len(runs):
         block, windows = [], 0
-        while at < len(runs) and (not block or windows + runs[at][2] - runs[at][1] < BLOCK):
+        while at < len(runs) and (not block or (len(block) + 1) * (runs[at][2] - runs[at][1] + 1) <= BLOCK):
             block.append(runs[at])
             windows += runs[at][2] - runs[at][1] + 1
             at += 1

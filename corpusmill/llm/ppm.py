@@ -21,8 +21,8 @@ in every text is never a shuffle key.
 
 Defined results: a null text counts as empty (one end token); a null doc_id
 counts as held out; rows that repeat a doc_id are scored one by one. With no
-training text at all N and V are zero, the base is null and all bytes are
-equally likely. An empty table gives no rows; extra columns are ignored.
+training text at all N and V are zero, so each token's base is log10(0.1/0.1) = 0, and all
+bytes are equally likely. An empty table gives no rows; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -265,7 +265,6 @@ def ppm_scores(
             F.sum(F.when(count > 0, F.col("times")).otherwise(0)).alias("n_tail"),
         )
     )
-    none = F.lit(tokens == 0)
     return (
         rows.drop("words", "times")
         .join(tails, "key", "left")
@@ -275,7 +274,7 @@ def ppm_scores(
             "n_tokens",
             (F.col("n_head") + F.coalesce("n_tail", F.lit(0))).alias("n_known"),
             F.lit(tokens).cast("bigint").alias("train_tokens"),
-            F.when(~none, F.col("head_score") + F.coalesce("tail_score", F.lit(0.0))).alias("base_score"),
+            (F.col("head_score") + F.coalesce("tail_score", F.lit(0.0))).alias("base_score"),
             "score",
         )
     )

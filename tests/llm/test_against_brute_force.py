@@ -51,11 +51,29 @@ def test_token_ids(texts):
 
     tokenizer = Tokenizer.from_file(tokenizer_path())
     odd = ["It's DON'T x² 3½ À́ a\x85b\xa0c\x1cd İ Σ <|endoftext|>", "", "".join(map(chr, range(0x250)))]
-    for text in [*odd, *list(texts.values())[:60]]:
+    single = [form.format(chr(c)) for c in range(0x250) for form in ("{}", "{}an", "a{}n", "{}{}".replace("{}", "{0}"))]
+    rng = random.Random(5)
+    mixed = ["".join(chr(rng.randrange(0x250)) for _ in range(rng.randrange(40))) for _ in range(500)]
+    for text in [*odd, *single, *mixed, *list(texts.values())[:60]]:
         ids = np.frombuffer(packing.token_bytes(text, tokenizer_path()), "<u4").tolist()
         assert ids == tokenizer.encode(text, add_special_tokens=False).ids
 
 
+def test_word_pattern_only_for_files_with_its_fields():
+    import json
+
+    from corpusmill.llm import words
+
+    with open(tokenizer_path(), encoding="utf-8") as file:
+        fields = json.load(file)
+    assert words.is_spelt_out(fields)
+    for change in (
+        {"normalizer": None}, {"pre_tokenizer": words.BYTES}, {"model": fields["model"] | {"unk_token": "a"}},
+        {"added_tokens": [fields["added_tokens"][0] | {"normalized": True}]},
+    ):
+        assert not words.is_spelt_out(fields | change)
+
+
 def test_packing_round_trip(spark, documents, texts):
     rows = packing.packed(documents, tokenizer_path(), capacity=256).collect()
     ids = {i: packing.token_bytes(t, tokenizer_path()) + b"\1\0\0\0" for i, t in texts.items()}
@@ -473,3 +491,30 @@ def test_nested_parts_of_an_article_stay():
         assert html.main_text(page) == f"{text} {short}"
     page = wrap(f"<div>Skip to this</div><main><article><p>{long}</p></article><article><p>{short}</p></article></main>")
     assert html.main_text(page) == f"{text} {short}"
+
+
+# ---- long runs and tables without training texts
+
+
+def test_long_digit_runs():
+    for text in ("0" * 5000 + ".1.1.1", "1" * 5000 + ".1.1.1", "x 10.0.0.256 000255.1.2.3"):
+        found = pii.base_spans(text)
+        assert [k for _, k, _ in found] == ([1] if "1" * 9 not in text else [])
+
+
+def test_unigram_base_without_training_texts(spark):
+    held_out = next(i for i in range(100) if zlib.crc32(str(i).encode()) % 10 == 0)
+    rows = ppm.ppm_scores(spark.createDataFrame([(held_out, "some words")], "doc_id bigint, text string")).collect()
+    assert [(r["n_tokens"], r["n_known"], r["train_tokens"], r["base_score"]) for r in rows] == [(3, 0, 0, 0.0)]
+
+
+def test_tagger_blocks_are_bounded(monkeypatch):
+    """One long run among many short ones does not pad them all."""
+    model = Tagger(1 + 2 * len(pii.KINDS))
+    seen = []
+    best = model.best_path
+    model.best_path = lambda whole: seen.append(whole.shape) or best(whole)
+    texts = [f"a {i:03d} b {i:05d}" for i in range(300)] + ["12 34 " * 3000]
+    pii.added_spans(texts, model)
+    assert sum(n for n, _, _ in seen) >= len(texts)
+    assert max(n * size for n, size, _ in seen) <= max((pii.BLOCK + 1) * pii.HALF, 18_000 + 4 * pii.HALF)
