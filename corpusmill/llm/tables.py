@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import uuid
 from collections.abc import Iterator, Sequence
 
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 
 from corpusmill.plans.lineage import ensure_checkpoint_dir
 
-MAX_CHARS = 4 << 20
+MAX_CHARS = 2 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -38,13 +39,31 @@ def pieces(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[
     """Slices of a few million characters with their texts, null as empty.
 
     A batch may hold many long texts; only one slice of it is held as Python strings.
+    Afterwards the worker, which other tasks will use, gives free memory back.
     """
-    for batch in batches:
-        texts = batch.column(batch.schema.get_field_index(column))
-        step = max(1, len(texts) * MAX_CHARS // max(texts.nbytes, 1))
-        for at in range(0, len(texts), step):
-            part = batch.slice(at, step)
-            yield part, [x or "" for x in part.column(part.schema.get_field_index(column)).to_pylist()]
+    for part in slices(batches, column):
+        yield part, [x or "" for x in part.column(part.schema.get_field_index(column)).to_pylist()]
+
+
+def slices(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[pa.RecordBatch]:
+    """Slices of a few million bytes of the column."""
+    try:
+        for batch in batches:
+            texts = batch.column(batch.schema.get_field_index(column))
+            step = max(1, len(texts) * MAX_CHARS // max(texts.nbytes, 1))
+            for at in range(0, len(texts), step):
+                yield batch.slice(at, step)
+    finally:
+        release()
+
+
+def release() -> None:
+    """Give memory that is free in this process back to the system."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # not a GNU C library
+        pass
 
 
 def smallest_hashes(df: DataFrame, keys: Sequence[str], limit: int) -> DataFrame:
