@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusmill.llm import decontaminate, exact, html, language, lines, packing, pii, ppm, simhash, toxicity
+from corpusmill.llm import bpe, decontaminate, dsir, exact, fim, html, language, lines, packing, pii, ppm, simhash
+from corpusmill.llm import toxicity
 from corpusmill.llm.tables import table
 
 
@@ -58,6 +59,18 @@ def ppm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ppm.ppm_scores(table(spark, sf_dir, "documents"))
 
 
+def fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fim.digests(table(spark, sf_dir, "documents"))
+
+
+def importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dsir.resampled(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def bpe_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.token_digests(table(spark, sf_dir, "documents"), tokenizer_path())
+
+
 QUERIES = {
     "op1_pii": personal_data,
     "op2_line_dedup": line_dedup,
@@ -69,6 +82,9 @@ QUERIES = {
     "op8_simhash": simhash_near_dedup,
     "op9_ppm": ppm_scores,
     "op10_decontamination": decontamination,
+    "op11_fim": fill_in_middle,
+    "op12_resampling": importance_resampling,
+    "op13_bpe": bpe_digests,
 }
 
-ORACLES = {"op3_exact_dedup": exact.ORACLE}
+ORACLES = {"op3_exact_dedup": exact.ORACLE, "op11_fim": fim.ORACLE, "op12_resampling": dsir.ORACLE}
