@@ -194,7 +194,7 @@ def transformed(
             found = borders(np.frombuffer(b"".join(texts), np.uint8), starts)
             rows = []
             numbers = zip(*(part.column(f"h{k}").to_pylist() for k in range(1, 5)), strict=True)
-            for data, begin, ends, (h1, h2, h3, h4) in zip(texts, starts.tolist(), found, numbers, strict=True):
+            for data, begin, ends, (h1, h2, h3, h4) in zip(texts, starts[:-1].tolist(), found, numbers, strict=True):
                 text = Text(data, (ends - begin).tolist(), memory, by_line) if data else None
                 n = text.units if text else 0
                 if not data or h3 % 100 >= fim_percent or any(x in data for x in marks):
