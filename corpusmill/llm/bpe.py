@@ -39,6 +39,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from corpusmill.llm.tables import pieces, release
 from corpusmill.llm.words import byte_alphabet, plain_words
@@ -356,8 +357,8 @@ def decoded(rows: DataFrame, path: str, ids_col: str = "ids", to: str = "decoded
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.string())], [*batch.schema.names, to])
         release()
 
-    fields = rows.schema.add(to, "string")
-    return rows.mapInArrow(texts, fields)
+    schema = StructType([*rows.schema.fields, StructField(to, StringType())])
+    return rows.mapInArrow(texts, schema)
 
 
 def token_digests(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
