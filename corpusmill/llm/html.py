@@ -187,6 +187,12 @@ def _closable(html: str) -> str:
     return html[:at] + html[at:last].replace("<", "&lt;") + html[last:]
 
 
+def _add_to_parents(values: list, parents: list[int]) -> None:
+    """Sums over each region and all inside it; parents have smaller numbers, so one pass from the last is enough."""
+    for i in range(len(values) - 1, 0, -1):
+        values[parents[i]] += values[i]
+
+
 def main_text(html: str) -> str:
     """The article of a page as one line of text."""
     parser = _Lines()
@@ -205,22 +211,23 @@ def main_text(html: str) -> str:
         content = sizes > 0
     inside = [0.0] * len(parser.regions)
     for (_, _, region), size, good in zip(lines, sizes, content, strict=True):
-        while good and region >= 0:
+        if good:
             inside[region] += size
-            region = parser.regions[region]
+    _add_to_parents(inside, parser.regions)
     enough = REGION_SHARE * inside[0]
     chosen = max(i for i, size in enumerate(inside) if size >= enough)
     around = parser.own[chosen]
     if around >= 0:
         chosen = around
+    # The last region that holds it and all content lines is the smallest one.
+    wanted = [0] * len(inside)
+    wanted[chosen] = 1
     for (_, _, region), good in zip(lines, content, strict=True):
         if good and (around < 0 or parser.own[region] >= 0):
-            # Parents have smaller numbers: the later one of two climbs until both are one.
-            while region != chosen:
-                if region > chosen:
-                    region = parser.regions[region]
-                else:
-                    chosen = parser.regions[chosen]
+            wanted[region] += 1
+    everything = sum(wanted)
+    _add_to_parents(wanted, parser.regions)
+    chosen = max(i for i, n in enumerate(wanted) if n == everything)
     within = [i == chosen for i in range(len(inside))]
     for i in range(chosen + 1, len(inside)):
         within[i] = within[parser.regions[i]]
