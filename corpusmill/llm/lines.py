@@ -246,11 +246,15 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     )
     same = F.col(id_col).eqNullSafe(F.col("_gone_id")) & (F.xxhash64(text_col) == F.col("_gone_hash"))
     gone_at = F.coalesce("_gone", F.array().cast("array<int>"))
-    rest = F.filter(F.split(text_col, "\n"), lambda _, i: ~F.array_contains(gone_at, i))
+    # The lines and positions are made once a document: a lambda would make them anew for each line.
+    every = F.split(text_col, "\n")
+    left = F.array_except(F.sequence(F.lit(0), F.size(every) - 1), gone_at)
+    both = F.array(F.struct(every.alias("every"), left.alias("left")))
+    rest = F.transform(both, lambda d: F.array_join(F.transform(d["left"], lambda i: F.get(d["every"], i)), "\n"))[0]
     return (
         docs.join(gone, same, "left")
         .withColumn("_lines", F.coalesce(F.size(F.split(text_col, "\n")), F.lit(0)))
         .withColumn("_dropped", F.size(gone_at))
-        .withColumn(text_col, F.when(F.col("_gone").isNull(), F.col(text_col)).otherwise(F.array_join(rest, "\n")))
+        .withColumn(text_col, F.when(F.col("_gone").isNull(), F.col(text_col)).otherwise(rest))
         .drop("_gone_id", "_gone_hash", "_gone")
     )
