@@ -30,6 +30,7 @@ WINDOW = 13
 SUBSTITUTIONS = 2
 MASKS = ("11010111", "111001011")
 BLOCK_ENTRIES = 100_000
+STRETCH = 64
 
 
 def tokens(text: Column) -> Column:
@@ -42,11 +43,13 @@ def _numbers(words: Column) -> Column:
     return F.transform(words, lambda w: F.xxhash64(w))
 
 
-def _seeds(hashes: Column, mask: str) -> Column:
-    """Hash of every masked span, in order of its first token."""
+def _seeds(hashes: Column, mask: str, first: Column | None = None, many: int | None = None) -> Column:
+    """Hash of every masked span, in order of its first token; with ``first``, of ``many`` spans from there."""
     used = [i for i, c in enumerate(mask) if c == "1"]
+    first = F.lit(0) if first is None else first
     last = F.size(hashes) - len(mask)
-    starts = F.when(last >= 0, F.sequence(F.lit(0), last)).otherwise(F.array().cast("array<int>"))
+    last = last if many is None else F.least(last, first + (many - 1))
+    starts = F.when(last >= first, F.sequence(first, last)).otherwise(F.array().cast("array<int>"))
     return F.transform(
         starts, lambda i: F.xxhash64(F.lit(mask), *[F.get(hashes, i + offset) for offset in used])
     )
@@ -78,6 +81,22 @@ def entries(items: DataFrame, id_col: str = "item_id", text_col: str = "text") -
     return both.groupBy("seed", "before", "around").agg(F.min("item_id").alias("item_id"))
 
 
+def _stretches(numbered: DataFrame) -> DataFrame:
+    """(doc_id, begin, lead, h): stretches of a document's tokens, each with those that its spans' windows reach.
+
+    ``begin`` is the place of its first token, the spans of the stretch begin ``lead`` tokens later. A row with a span
+    so carries a bounded number of tokens, however long the document is.
+    """
+    before = lambda s: F.least(s, F.lit(WINDOW - min(map(len, MASKS))))
+    starts = F.sequence(F.lit(0), F.greatest(F.size("h") - 1, F.lit(0)), F.lit(STRETCH))
+    stretch = lambda s: F.struct(
+        (s - before(s)).alias("begin"),
+        before(s).alias("lead"),
+        F.slice("h", s - before(s) + 1, before(s) + STRETCH + WINDOW).alias("h"),
+    )
+    return numbered.select("doc_id", F.explode(F.transform(starts, stretch)).alias("s")).select("doc_id", "s.*")
+
+
 def _verified() -> tuple[Column, Column]:
     """Whether some window of the aligned tokens, all inside the document, has few enough differences."""
     differs = lambda a, b: F.when(b.isNull(), SUBSTITUTIONS + 1).when(a == b, 0).otherwise(1)
@@ -101,11 +120,12 @@ def contaminated(
     """
     known = stored(entries(items).filter(F.size("around") >= WINDOW), "seeds")
     blocks = max(1, -(-known.count() // block_entries))
-    base = docs.select(F.col(id_col).alias("doc_id"), _numbers(tokens(F.col(text_col))).alias("h"))
+    base = _stretches(docs.select(F.col(id_col).alias("doc_id"), _numbers(tokens(F.col(text_col))).alias("h")))
     hashed = F.concat(
         *[
             F.transform(
-                _seeds(F.col("h"), mask), lambda seed, at: F.struct(at.alias("at"), seed.alias("seed"))
+                _seeds(F.col("h"), mask, F.col("lead"), STRETCH),
+                lambda seed, i: F.struct((F.col("lead") + i).alias("at"), seed.alias("seed")),
             )
             for mask in MASKS
         ]
@@ -114,8 +134,8 @@ def contaminated(
     found = []
     for block in range(blocks):
         own = known.filter(F.pmod(F.xxhash64("seed", "around"), F.lit(blocks)) == block)
-        spans = base.select("doc_id", "h", F.explode(hashed).alias("s")).select(
-            "doc_id", "h", F.col("s.at").alias("at"), F.col("s.seed").alias("seed")
+        spans = base.select("doc_id", "begin", "h", F.explode(hashed).alias("s")).select(
+            "doc_id", "begin", "h", F.col("s.at").alias("at"), F.col("s.seed").alias("seed")
         )
         hits = spans.join(F.broadcast(own), "seed")
         # Aligned tokens; null before the first or after the last of the document.
@@ -125,7 +145,10 @@ def contaminated(
             lambda i: F.when(first + i >= 0, F.get("h", first + i)),
         )
         checked = (
-            hits.withColumn("aligned", aligned).withColumn("same", same).filter(test).select("doc_id", "item_id", "at")
+            hits.withColumn("aligned", aligned)
+            .withColumn("same", same)
+            .filter(test)
+            .select("doc_id", "item_id", (F.col("begin") + F.col("at")).alias("at"))
         )
         found.append(checked)
     every = found[0]
