@@ -150,10 +150,11 @@ def learn(docs: DataFrame, fold: int = 4, held_out: int = 2, per_language: int =
     """Model of the rows whose id isn't in the held-out fold and whose language is known."""
     lettered = docs.filter(F.col("text").rlike(r"\p{L}"))
     own = lettered.filter((remainder("doc_id", fold) != held_out) & F.col("lang").isNotNull()).select(
-        "doc_id", F.col("lang").cast("string").alias("lang")
+        "doc_id", F.col("lang").cast("string").alias("lang"), F.xxhash64("text").alias("text_hash")
     )
-    chosen = top_n(own, ["lang"], [F.xxhash64("doc_id"), F.col("doc_id")], per_language).select(
-        F.col("doc_id").alias("_id"), F.col("lang").alias("_lang")
+    order = [F.xxhash64("doc_id"), F.col("doc_id"), F.col("text_hash")]
+    chosen = top_n(own, ["lang"], order, per_language).select(
+        F.col("doc_id").alias("_id"), F.col("lang").alias("_lang"), F.col("text_hash").alias("_hash")
     )
 
     def vectorised(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -177,10 +178,17 @@ def learn(docs: DataFrame, fold: int = 4, held_out: int = 2, per_language: int =
                 ["lang", "class", "cosine"],
             )
 
-    own = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("lang") == F.col("_lang"))
+    same = (
+        F.col("doc_id").eqNullSafe(F.col("_id"))
+        & (F.col("lang") == F.col("_lang"))
+        & (F.col("text_hash") == F.col("_hash"))
+    )
+    # Rows that repeat one document are one, so no language has more than its number of rows.
     sample = stored(
         lettered.select("doc_id", F.col("lang").cast("string").alias("lang"), "text")
-        .join(F.broadcast(chosen), own, "left_semi")
+        .withColumn("text_hash", F.xxhash64("text"))
+        .join(F.broadcast(chosen), same, "left_semi")
+        .dropDuplicates(["doc_id", "lang", "text_hash"])
         .select("lang", "text"),
         "language-sample",
     )
