@@ -123,8 +123,8 @@ def _evidence(learn: DataFrame, kept: int) -> list[str]:
     return [r["feature"] for r in rows.select("feature").collect()]
 
 
-def _sampled(learn: DataFrame, chosen: list[str]) -> pa.Table:
-    """(toxic, own, other): feature numbers of the sampled texts and of their counterfactuals."""
+def _sampled(learn: DataFrame, chosen: list[str], sample: int) -> pa.Table:
+    """(toxic, own, other): feature numbers of the sampled texts and of their counterfactuals, ``sample`` rows at most."""
 
     def numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         numbers = _Numbers(chosen)
@@ -136,7 +136,9 @@ def _sampled(learn: DataFrame, chosen: list[str]) -> pa.Table:
                 ["toxic", "own", "other"],
             )
 
-    return learn.mapInArrow(numbered, "toxic int, own array<int>, other array<int>").toArrow()
+    rows = learn.mapInArrow(numbered, "toxic int, own array<int>, other array<int>")
+    # A doc_id that many rows repeat brings them all; a hash of what is learnt from them chooses.
+    return rows.orderBy(F.xxhash64("toxic", "own", "other"), "toxic", "own").limit(sample).toArrow()
 
 
 def _matrix(lists: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
@@ -192,7 +194,7 @@ def toxicity(
     """(doc_id, held_out, score, predicted): one row per document."""
     learn = labelled(docs, labels, held_out_of, sample)
     chosen = _evidence(learn, kept)
-    table = _sampled(learn, chosen)
+    table = _sampled(learn, chosen, sample)
     toxic = table["toxic"].to_numpy().astype(float)
     if 0 < toxic.sum() < len(toxic):
         weights, bias = fit(_matrix(table["own"]), _matrix(table["other"]), toxic, len(chosen), penalty)
