@@ -13,49 +13,78 @@ from pyspark.sql import types as T
 from corpusmill.functions.constants import BBOX_PCT_NORMALIZER, QUALITY_WEIGHTS, SHARPNESS_NORMALIZER
 from corpusmill.functions.numeric import round_to
 
+STACK_PIXELS = 1 << 21
 COLUMNS = ("detection_score", "bbox_pct", "sharpness", "composite_score")
 
 
-def laplacian_variance(gray: np.ndarray) -> float:
-    """Population variance of the 4-neighbour Laplacian, mirrored borders."""
-    padded = np.pad(gray.astype(np.float64), 1, mode="reflect")
-    centre = padded[1:-1, 1:-1]
+def laplacian_variances(gray: np.ndarray) -> np.ndarray:
+    """Population variance of the 4-neighbour Laplacian of each image of a stack, mirrored borders."""
+    padded = np.pad(gray.astype(np.float64), ((0, 0), (1, 1), (1, 1)), mode="reflect")
+    centre = padded[:, 1:-1, 1:-1]
     response = (
-        padded[:-2, 1:-1] + padded[2:, 1:-1] + padded[1:-1, :-2] + padded[1:-1, 2:] - 4 * centre
+        padded[:, :-2, 1:-1] + padded[:, 2:, 1:-1] + padded[:, 1:-1, :-2] + padded[:, 1:-1, 2:] - 4 * centre
     )
-    return float(response.var())
+    return response.var(axis=(1, 2))
 
 
-def crop_variance(data: bytes, width: int, height: int, channels: int, box: Sequence[float]) -> float:
-    """Sharpness of the box inside BGR bytes; 0 for an empty crop."""
+def laplacian_variance(gray: np.ndarray) -> float:
+    return float(laplacian_variances(gray[None])[0])
+
+
+def _crop(data: bytes, width: int, height: int, channels: int, box: Sequence[float]) -> np.ndarray | None:
+    """The pixels of the box inside BGR bytes; None for an empty crop."""
     x, y, w, h = box
     x1, y1 = max(0, int(x)), max(0, int(y))
     x2, y2 = min(width, int(x + w)), min(height, int(y + h))
     if x2 <= x1 or y2 <= y1:
-        return 0.0
-    pixels = np.frombuffer(data, np.uint8).reshape(height, width, channels)[y1:y2, x1:x2]
-    if channels == 1:
-        gray = pixels[:, :, 0]
-    else:
-        blue, green, red = (pixels[:, :, i].astype(np.float64) for i in range(3))
-        gray = np.rint(0.299 * red + 0.587 * green + 0.114 * blue)
-    return laplacian_variance(gray)
+        return None
+    return np.frombuffer(data, np.uint8).reshape(height, width, channels)[y1:y2, x1:x2]
+
+
+def _gray(stack: np.ndarray) -> np.ndarray:
+    """Gray values of a stack of crops (image, row, column, channel)."""
+    if stack.shape[3] == 1:
+        return stack[..., 0]
+    blue, green, red = (stack[..., i].astype(np.float64) for i in range(3))
+    return np.rint(0.299 * red + 0.587 * green + 0.114 * blue)
+
+
+def crop_variance(data: bytes, width: int, height: int, channels: int, box: Sequence[float]) -> float:
+    """Sharpness of the box inside BGR bytes; 0 for an empty crop."""
+    crop = _crop(data, width, height, channels, box)
+    return 0.0 if crop is None else laplacian_variance(_gray(crop[None])[0])
+
+
+def crop_variances(images: pd.DataFrame, boxes: pd.DataFrame) -> np.ndarray:
+    """Sharpness of every row: crops of one shape are one stack, of at most ``STACK_PIXELS`` pixels."""
+    out = np.zeros(len(images))
+    usable = (images["width"].fillna(0) > 0).to_numpy() & boxes.notna().all(axis=1).to_numpy()
+    shapes: dict[tuple[int, ...], list[tuple[int, np.ndarray]]] = {}
+
+    def measure(shape: tuple[int, ...]) -> None:
+        at, crops = zip(*shapes.pop(shape), strict=True)
+        out[list(at)] = laplacian_variances(_gray(np.stack(crops)))
+
+    fields = zip(
+        *(images[c] for c in ("data", "width", "height", "nChannels")),
+        boxes[list("xywh")].to_numpy(float),
+        usable,
+        strict=True,
+    )
+    for row, (data, width, height, channels, box, good) in enumerate(fields):
+        crop = _crop(data, int(width), int(height), int(channels), box) if good else None
+        if crop is not None:
+            shapes.setdefault(crop.shape, []).append((row, crop))
+            if len(shapes[crop.shape]) * crop[..., 0].size >= STACK_PIXELS:
+                measure(crop.shape)
+    for shape in list(shapes):
+        measure(shape)
+    return out
 
 
 @F.pandas_udf(T.DoubleType())
 def _sharpness(images: pd.DataFrame, boxes: pd.DataFrame) -> pd.Series:
-    out = []
-    for i in range(len(images)):
-        height, width = images["height"].iloc[i], images["width"].iloc[i]
-        box = [boxes[c].iloc[i] for c in "xywh"]
-        if width is None or pd.isna(width) or width <= 0 or any(pd.isna(v) for v in box):
-            out.append(0.0)
-        else:
-            out.append(
-                crop_variance(images["data"].iloc[i], int(width), int(height),
-                              int(images["nChannels"].iloc[i]), box)
-            )
-    return pd.Series(out, dtype="float64")
+    return pd.Series(crop_variances(images, boxes), dtype="float64")
 
 
 def crop_sharpness(image: str = "image", bbox: str = "bbox") -> Column:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from corpusmill.functions.constants import SCORED_EXTENSIONS, SPLITS
 from corpusmill.functions.text import has_extension
+from corpusmill.sources.headers import size_columns
 
 
 def _decoded(path: Column) -> Column:
@@ -56,9 +57,17 @@ def probe_items(
 ) -> DataFrame:
     """Items with width and height; unreadable ones have 0 x 0.
 
-    ``keep_pixels`` keeps the decoded ``image`` struct. Formats the JVM cannot
-    decode (WebP) count as unreadable.
+    Sizes come from the headers of the files. ``keep_pixels`` decodes them and
+    keeps the ``image`` struct; formats that the JVM cannot decode (WebP) then count as unreadable.
+    Spark's readers pass over empty files, so they are no items.
     """
+    if not keep_pixels:
+        files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
+        rows = files.select(
+            *[c.alias(k) for k, c in path_columns(F.col("path"), with_split).items()], "content", "length"
+        )
+        kept = _filtered(rows, splits if with_split else None, extensions)
+        return kept.withColumns(size_columns(F.col("content"), F.col("length"))).drop("content", "length")
     images = (
         spark.read.format("image").option("dropInvalid", False)
         .option("recursiveFileLookup", True).load(root)
@@ -66,6 +75,6 @@ def probe_items(
     columns = path_columns(F.col("image.origin"), with_split)
     size = {c: F.greatest(F.col(f"image.{c}"), F.lit(0)) for c in ("width", "height")}
     rows = images.select(
-        *[c.alias(k) for k, c in {**columns, **size}.items()], *(["image"] if keep_pixels else [])
+        *[c.alias(k) for k, c in {**columns, **size}.items()], "image"
     )
     return _filtered(rows, splits if with_split else None, extensions)

@@ -7,6 +7,7 @@ from corpusmill.workloads import (
     calibration,
     catalog,
     evaluation,
+    images,
     roundtrips,
     splits,
     streams,
@@ -15,7 +16,7 @@ from corpusmill.workloads import (
     verdict,
 )
 
-MODULES = (vectors, catalog, boxes, verdict, calibration, splits, trainset, evaluation, streams, roundtrips)
+MODULES = (vectors, catalog, boxes, verdict, calibration, splits, trainset, evaluation, streams, roundtrips, images)
 
 
 def all_queries() -> dict:
