@@ -11,6 +11,7 @@ from corpusmill.functions.constants import BORDERLINE_CENTER, DEFAULT_THRESHOLD,
 from corpusmill.functions.hashing import shuffle_key
 from corpusmill.functions.numeric import f1_score, ratio, round_to
 from corpusmill.plans.ranking import range_rank, top_n
+from corpusmill.plans.running import running
 from corpusmill.plans.sizing import join_small
 
 KEPT = "kept"
@@ -172,6 +173,26 @@ def sweep(
     )
 
 
+def threshold_curve(scored: DataFrame, score: str = "composite_score") -> DataFrame:
+    """Metrics of "keep when score >= t" for every score t that occurs: the whole precision and recall curve.
+
+    Items are added up by score; running sums over the ranked scores, in chunks, give the counts of all
+    thresholds at once, so neither their number nor a frequent score matters. Items without a score count nowhere.
+    """
+    good, bad = F.count_if(F.col("label") == "good"), F.count_if(F.col("label") != "good")
+    by_score = scored.filter(F.col(score).isNotNull()).groupBy(F.col(score).alias("min_composite"))
+    ranked = range_rank(
+        by_score.agg(good.alias("_good"), bad.alias("_bad")), [], [F.desc("min_composite")], "_rank"
+    )
+    total = ranked.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("_good", "_bad")]).first()
+    counts = running(ranked, [], "_rank", {"tp": ("sum", F.col("_good")), "fp": ("sum", F.col("_bad"))}).select(
+        "min_composite", "tp", "fp", (total["_good"] - F.col("tp")).alias("fn"), (total["_bad"] - F.col("fp")).alias("tn")
+    )
+    precision, recall = ratio(F.col("tp"), F.col("tp") + F.col("fp")), ratio(F.col("tp"), F.col("tp") + F.col("fn"))
+    rates = counts.withColumns({"precision": precision, "recall": recall})
+    return rates.withColumn("f1", f1_score(F.col("precision"), F.col("recall")))
+
+
 def recommend(swept: DataFrame, default: float = DEFAULT_THRESHOLD) -> DataFrame:
     """The best sweep row, or the default threshold with f1 0."""
     spark = swept.sparkSession

@@ -87,6 +87,10 @@ def threshold_choice(spark, sf_dir):
     return O.recommend(_sweep(spark, sf_dir))
 
 
+def threshold_curve(spark, sf_dir):
+    return O.threshold_curve(O.attach_scores(_ground_truth(spark, sf_dir), _scored(spark, sf_dir)))
+
+
 QUERIES = {
     "scored_pool": scored_pool,
     "sample_random": _sample("random"),
@@ -100,6 +104,7 @@ QUERIES = {
     "scored_truth": scored_truth,
     "threshold_sweep": threshold_sweep,
     "threshold_choice": threshold_choice,
+    "threshold_curve": threshold_curve,
 }
 
 POOL_SQL = """
@@ -167,4 +172,14 @@ ORACLES = {
     "threshold_sweep": f"WITH {TRUTH_SQL}, {SWEEP_SQL} SELECT * FROM swept",
     "threshold_choice": f"""WITH {TRUTH_SQL}, {SWEEP_SQL}
       SELECT min_composite, f1 FROM swept ORDER BY f1 DESC, min_composite LIMIT 1""",
+    "threshold_curve": f"""WITH {TRUTH_SQL},
+      each_score AS (SELECT score::DOUBLE AS t, count(*) FILTER (WHERE label = 'good') AS g, count(*) FILTER (WHERE label <> 'good') AS b
+             FROM gt GROUP BY 1),
+      cnt AS (SELECT t, sum(g) OVER (ORDER BY t DESC)::BIGINT AS tp, sum(b) OVER (ORDER BY t DESC)::BIGINT AS fp,
+                     (sum(g) OVER () - sum(g) OVER (ORDER BY t DESC))::BIGINT AS fn,
+                     (sum(b) OVER () - sum(b) OVER (ORDER BY t DESC))::BIGINT AS tn FROM each_score),
+      pr AS (SELECT *, CASE WHEN tp + fp > 0 THEN tp / (tp + fp) ELSE 0 END AS p,
+                    CASE WHEN tp + fn > 0 THEN tp / (tp + fn) ELSE 0 END AS r FROM cnt)
+      SELECT t AS min_composite, tp, fp, fn, tn, p AS "precision", r AS recall,
+             CASE WHEN p + r > 0 THEN 2 * p * r / (p + r) ELSE 0 END AS f1 FROM pr""",
 }

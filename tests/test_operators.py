@@ -85,6 +85,19 @@ def test_sweep_orders_by_f1_then_threshold(spark):
     assert tuple(calibration.recommend(calibration.sweep(scored.filter("false"))).first()) == (0.2, 0.0)
 
 
+def test_threshold_curve_counts_every_score(spark):
+    data = [("good" if i * 7 % 5 < 3 else "bad", (i * 13 % 23) / 10) for i in range(90)]
+    scored = spark.createDataFrame([*data, ("good", None)], "label string, composite_score double")
+    got = {r["min_composite"]: r for r in calibration.threshold_curve(scored).collect()}
+    assert len(got) == 23
+    for t, r in got.items():
+        tp, fp = (sum(label == want and score >= t for label, score in data) for want in ("good", "bad"))
+        fn, tn = (sum(label == want and score < t for label, score in data) for want in ("good", "bad"))
+        assert (r["tp"], r["fp"], r["fn"], r["tn"]) == (tp, fp, fn, tn)
+        assert r["precision"] == tp / (tp + fp) and r["recall"] == tp / (tp + fn)
+    assert calibration.threshold_curve(scored.filter("false")).count() == 0
+
+
 def test_sampling_modes(spark):
     kept = numbered(spark, {"a": 5, "b": 5}).withColumn("composite_score", F.substring("item_id", 5, 1).cast("double") / 10)
     rejected = kept.withColumn("item_id", F.concat(F.lit("r"), "item_id"))
