@@ -642,12 +642,19 @@ def near_duplicates(
     item: str = "item_id",
     vector: str = "embedding",
     score: str = "composite_score",
+    find: Callable[..., DataFrame] | None = None,
 ) -> DataFrame:
-    """Copies and near pairs of every group resolved to kept/removed records."""
+    """Copies and near pairs of every group resolved to kept/removed records.
+
+    ``find`` makes the pairs, for example ``pivots.pruned_pairs`` for vectors in clusters.
+    """
     if scores is None:
         scores = vectors.select(*group, item, F.lit(0.0).alias(score))
     distinct, copies, sizes = split_copies(vectors.select(*group, item, vector), group, item, vector, score, scores)
-    pairs = near_pairs(distinct, threshold, group, item, vector, sizes=sizes)
+    if find is None:
+        pairs = near_pairs(distinct, threshold, group, item, vector, sizes=sizes)
+    else:
+        pairs = find(distinct, threshold, group, item, vector)
     return resolve_duplicates(
         pairs, scores, group, item, score, copies if threshold < 1.0 else None
     )

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from corpusmill.functions.constants import CATEGORIES
 from corpusmill.functions.vectors import l2_normalise
+from corpusmill.operators import pivots as P
 from corpusmill.operators import vectors as O
 from corpusmill.workloads.tables import table
 
@@ -181,6 +182,13 @@ def copied_pairs(spark, sf_dir):
     return O.near_pairs(distinct, PAIR_THRESHOLD, sizes=sizes).withColumn("similarity", F.round("similarity", 6))
 
 
+def pruned_pairs(spark, sf_dir):
+    """Near pairs of the vectors' first four places, through the pivot index."""
+    short = vectors(spark, sf_dir).withColumn("embedding", F.slice("embedding", 1, 4))
+    distinct = O.split_copies(short)[0]
+    return P.pruned_pairs(distinct, 0.95).withColumn("similarity", F.round("similarity", 4))
+
+
 def mislabel_totals(spark, sf_dir):
     return O.mislabel_summary(O.mislabeled(vectors(spark, sf_dir), margin=0.02))
 
@@ -213,6 +221,7 @@ QUERIES = {
     "copied_members": copied_members,
     "copied_pairs": copied_pairs,
     "encoded_items": encoded_items,
+    "pruned_pairs": pruned_pairs,
 }
 
 # Softmax over the six prototypes, then the margin rule, in SQL.
@@ -275,6 +284,11 @@ ORACLES = {
       ru2 AS (SELECT item_id, label, list_transform(e, lambda x: x / sqrt(list_dot_product(e, e))) AS u FROM rep)
       SELECT a.label, a.item_id AS item_a, b.item_id AS item_b, round(list_dot_product(a.u, b.u), 6) AS similarity
       FROM ru2 a JOIN ru2 b ON a.label = b.label AND a.item_id < b.item_id WHERE list_dot_product(a.u, b.u) > 0.3""",
+    "pruned_pairs": """WITH four AS (SELECT label, vec_id, CAST(embedding AS DOUBLE[])[1:4] AS e FROM embeddings),
+      one AS (SELECT label, e, min(vec_id) AS item_id FROM four GROUP BY label, e),
+      u4 AS (SELECT label, item_id, list_transform(e, lambda x: x / sqrt(list_dot_product(e, e))) AS u FROM one)
+      SELECT a.label, a.item_id AS item_a, b.item_id AS item_b, round(list_dot_product(a.u, b.u), 4) AS similarity
+      FROM u4 a JOIN u4 b ON a.label = b.label AND a.item_id < b.item_id WHERE list_dot_product(a.u, b.u) > 0.95""",
     "mislabel_totals": f"""WITH {VECTORS_SQL}, {MISLABEL_SQL}
       SELECT label, count(*) AS suspected_count FROM mis WHERE own - nearest > 0.02 GROUP BY ROLLUP (label)""",
     "encoded_items": """SELECT doc_id AS item_id, length(text) AS chars,
