@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from corpusmill.functions.constants import CATEGORIES
 from corpusmill.operators import vectors as VO
 from corpusmill.plans.lineage import ensure_checkpoint_dir
+from corpusmill.streaming import moments as M
 from corpusmill.streaming.incremental import stream_report, vector_stream
 from corpusmill.streaming.live import stream_top_k
 from corpusmill.workloads import evaluation as EW
@@ -49,9 +50,31 @@ def streamed_top_classes(spark, sf_dir):
     return rows.withColumn("probability", F.round("probability", 6))
 
 
-QUERIES = {f.__name__: f for f in (streamed_categories, streamed_top_classes)}
+def _followed(spark, sf_dir):
+    """All vectors, and the limits of their labels after they came in several batches."""
+    folder, vecs = _folder(spark), VW.vectors(spark, sf_dir)
+    part = F.pmod(F.xxhash64("item_id"), F.lit(3)).cast("int")
+    vecs.withColumn("part", part).write.partitionBy("part").parquet(f"{folder}/arrived")
+    arrived = spark.read.parquet(f"{folder}/arrived")
+    each = max(1, len(arrived.inputFiles()) // 3)
+    stream = spark.readStream.schema(arrived.schema).option("maxFilesPerTrigger", each).parquet(f"{folder}/arrived")
+    return vecs, M.follow(stream.drop("part"), f"{folder}/followed", f"{folder}/progress", margin=0.02)
+
+
+def streamed_outliers(spark, sf_dir):
+    return M.outliers_by_state(*_followed(spark, sf_dir))
+
+
+def streamed_mislabels(spark, sf_dir):
+    vecs, known = _followed(spark, sf_dir)
+    return VO.mislabeled(vecs, margin=0.02, cents=known.select("label", "n", "centroid"))
+
+
+QUERIES = {f.__name__: f for f in (streamed_categories, streamed_top_classes, streamed_outliers, streamed_mislabels)}
 
 ORACLES = {
     "streamed_categories": VW.ORACLES["zero_shot_categories"],
+    "streamed_outliers": VW.ORACLES["label_outliers"],
+    "streamed_mislabels": VW.ORACLES["mislabel_candidates"],
     "streamed_top_classes": EW.ORACLES["top_classes"],
 }
