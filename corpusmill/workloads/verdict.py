@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from corpusmill.operators import vectors as VO
 from corpusmill.operators import verdict as O
 from corpusmill.operators.catalog import dense_label_map
-from corpusmill.plans.lineage import cut
+from corpusmill.plans.lineage import cut, ensure_checkpoint_dir
+from corpusmill.sources import applied
 from corpusmill.workloads import vectors as VW
 from corpusmill.workloads.tables import table
 
@@ -48,6 +51,21 @@ def verdict_partition(spark, sf_dir):
     )
 
 
+def _published(spark, sf_dir):
+    folder = f"{ensure_checkpoint_dir(spark)}/applied-{uuid.uuid4().hex}"
+    applied.publish(_verdicts(spark, sf_dir).select("label", "item_id", "removed"), folder)
+    return folder
+
+
+def published_verdicts(spark, sf_dir):
+    return applied.read_published(spark, _published(spark, sf_dir)).select("label", "item_id", "side")
+
+
+def published_totals(spark, sf_dir):
+    """The totals that the writing job observed."""
+    return applied.published_runs(spark, _published(spark, sf_dir)).select("kept", "removed")
+
+
 def verdict_stats(spark, sf_dir):
     return O.verdict_stats(_verdicts(spark, sf_dir))
 
@@ -138,7 +156,7 @@ def report_summary(spark, sf_dir):
 QUERIES = {
     f.__name__: f
     for f in (
-        verdict_reasons, verdict_capped, verdict_partition, verdict_stats, verdict_reason_counts,
+        verdict_reasons, verdict_capped, verdict_partition, published_verdicts, published_totals, verdict_stats, verdict_reason_counts,
         emptied_in_any_split, emptied_in_all_splits, reindexed_label_map, pruned_metadata,
         dataset_stats, dataset_rejected, report_items, report_summary,
     )
@@ -187,6 +205,10 @@ ORACLES = {
              removed OR rn > {CAP} AS removed FROM r""",
     "verdict_partition": f"""WITH RECURSIVE {VERDICT_SQL}
       SELECT label, item_id, CASE WHEN removed THEN 'rejected' ELSE 'kept' END AS side FROM ver""",
+    "published_verdicts": f"""WITH RECURSIVE {VERDICT_SQL}
+      SELECT label, item_id, CASE WHEN removed THEN 'rejected' ELSE 'kept' END AS side FROM ver""",
+    "published_totals": f"""WITH RECURSIVE {VERDICT_SQL}
+      SELECT count(*) FILTER (WHERE NOT removed) AS kept, count(*) FILTER (WHERE removed) AS removed FROM ver""",
     "verdict_stats": f"""WITH RECURSIVE {VERDICT_SQL}
       SELECT label, count(*) FILTER (WHERE removed) AS removed, count(*) FILTER (WHERE NOT removed) AS kept
       FROM ver GROUP BY ROLLUP (label)""",
